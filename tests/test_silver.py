@@ -1,0 +1,241 @@
+"""Hand-computed answers, one row per branch, null and boundary."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from triptych import config
+from triptych.plans import gold, silver
+
+
+def test_all_null_row(validate, make_bronze):
+    (row,) = validate({})
+    labels = ("sex", "chest_pain_type", "resting_ecg", "st_slope", "thalassemia", "age_group")
+    assert {row[name] for name in labels} == {"Unknown"}
+    assert row["dataset"] is None
+    assert row["max_heart_rate_category"] == "Low"
+    assert row["has_quality_issues"] is False
+    assert row["has_heart_disease"] is None
+
+
+@pytest.mark.parametrize(
+    ("source", "target", "cases"),
+    [
+        (
+            "sex",
+            "sex",
+            {
+                " M ": "Male",
+                "MALE": "Male",
+                "1": "Male",
+                "F": "Female",
+                "female": "Female",
+                "0": "Female",
+                "x": "Unknown",
+                "": "Unknown",
+            },
+        ),
+        ("dataset", "dataset", {" SiteA ": "SiteA", "Site B": "Site B", "\tx": "\tx"}),
+        (
+            "cp",
+            "chest_pain_type",
+            {
+                "typical angina": "Typical Angina",
+                "ATYPICAL angina": "Typical Angina",
+                "non-anginal": "Non-Anginal Pain",
+                "asymptomatic": "Asymptomatic",
+                "other": "Unknown",
+            },
+        ),
+        (
+            "restecg",
+            "resting_ecg",
+            {
+                "normal": "Normal",
+                "st-t abnormality": "Normal",
+                "LV hypertrophy": "LV Hypertrophy",
+                "inverted wave": "ST-T Abnormality",
+                "?": "Unknown",
+            },
+        ),
+        (
+            "slope",
+            "st_slope",
+            {"upsloping": "Upsloping", "FLAT": "Flat", "downsloping": "Downsloping", "?": "Unknown"},
+        ),
+        (
+            "thal",
+            "thalassemia",
+            {
+                "normal": "Normal",
+                "fixed defect": "Fixed Defect",
+                "reversable defect": "Reversible Defect",
+                "?": "Unknown",
+            },
+        ),
+    ],
+)
+def test_labels(validate, source, target, cases):
+    rows = validate(*[{source: text} for text in cases])
+    assert [row[target] for row in rows] == list(cases.values())
+
+
+def test_another_rule_order_reaches_the_shadowed_label(make_bronze):
+    parts = dict(config.LABEL_PARTS)
+    parts["chest_pain_type"] = (("Atypical Angina", ("atypical",)), *parts["chest_pain_type"])
+    df = silver.standardized(silver.typed(make_bronze({"cp": "atypical"})), label_parts=parts)
+    assert df.first()["chest_pain_type"] == "Atypical Angina"
+
+
+@pytest.mark.parametrize(
+    ("source", "values"),
+    [
+        ("age", [17, 18, 100, 101]),
+        ("trestbps", [79.0, 80.0, 250.0, 251.0]),
+        ("chol", [99, 100, 600, 601]),
+        ("thalch", [59, 60, 220, 221]),
+        ("oldpeak", [-0.1, 0.0, 10.0, 10.1]),
+    ],
+)
+def test_range_bounds_are_inclusive(validate, source, values):
+    rows = validate(*[{source: value} for value in values])
+    assert [row["has_quality_issues"] for row in rows] == [True, False, False, True]
+
+
+def test_one_bad_value_flags_a_row_with_nulls(validate):
+    (row,) = validate({"age": None, "chol": 1})
+    assert row["has_quality_issues"] is True
+
+
+def test_pressure_is_checked_after_rounding(validate):
+    rows = validate({"trestbps": 79.5}, {"trestbps": 250.5}, {"trestbps": 79.4})
+    assert [r["resting_blood_pressure"] for r in rows] == [80, 250, 79]
+    assert [r["has_quality_issues"] for r in rows] == [False, False, True]
+
+
+def test_age_groups(validate):
+    rows = validate(*[{"age": age} for age in (39, 40, 49, 50, 59, 60, 69, 70, None)])
+    assert [row["age_group"] for row in rows] == [
+        "< 40",
+        "40-49",
+        "40-49",
+        "50-59",
+        "50-59",
+        "60-69",
+        "60-69",
+        "70+",
+        "Unknown",
+    ]
+
+
+def test_heart_rate_categories(validate):
+    rows = validate(*[{"thalch": rate} for rate in (139, 140, 159, 160, 179, 180, None)])
+    assert [row["max_heart_rate_category"] for row in rows] == [
+        "Low",
+        "Moderate",
+        "Moderate",
+        "High",
+        "High",
+        "Very High",
+        "Low",
+    ]
+
+
+def test_disease_flag(validate):
+    rows = validate(*[{"num": n} for n in (-1, 0, 4, 5, None)])
+    assert [row["has_heart_disease"] for row in rows] == [None, False, True, True, None]
+
+
+def test_columns_types_and_order(make_bronze):
+    df = silver.validated(silver.standardized(silver.typed(make_bronze({}))))
+    names = [name for _, name, _ in config.SILVER_COLUMNS]
+    assert df.columns == [
+        *names,
+        "has_heart_disease",
+        "ingestion_timestamp",
+        "source_file",
+        "has_quality_issues",
+        "age_group",
+        "max_heart_rate_category",
+        "validation_timestamp",
+    ]
+    assert [t for _, t in df.dtypes[: len(names)]] == [t for _, _, t in config.SILVER_COLUMNS]
+    assert not df.schema["has_quality_issues"].nullable
+
+
+def test_typed_from_text_strict_and_lenient(make_bronze):
+    text = make_bronze({"id": 1, "age": 63}).withColumn("age", F.lit("?"))
+    with pytest.raises(PySparkException):
+        silver.typed(text).collect()
+    assert silver.typed(text, on_error="null").first()["age"] is None
+
+
+def test_clean_keeps_rows_without_issues_and_duplicates(make_bronze):
+    df = make_bronze({"id": 1, "age": 50}, {"id": 1, "age": 50}, {"id": 2, "age": 5})
+    rows = silver.clean(silver.validated(silver.standardized(silver.typed(df)))).collect()
+    assert [row["patient_id"] for row in rows] == [1, 1]
+    assert {row["has_quality_issues"] for row in rows} == {False}
+
+
+def test_other_rules_can_be_passed(make_bronze):
+    rules = (config.RangeRule("age", 0, 10),)
+    df = silver.standardized(silver.typed(make_bronze({"age": 5}, {"age": 50})))
+    flags = silver.validated(df, rules).orderBy("age").collect()
+    assert [row["has_quality_issues"] for row in flags] == [False, True]
+
+
+FULL_SCORE = {
+    "age": 61,
+    "sex": "m",
+    "cp": "asymptomatic",
+    "trestbps": 141.0,
+    "chol": 241,
+    "fbs": True,
+    "thalch": 119,
+    "exang": True,
+    "oldpeak": 2.1,
+    "ca": 2,
+}
+NO_SCORE = {
+    "age": 60,
+    "sex": "f",
+    "cp": "typical",
+    "trestbps": 140.0,
+    "chol": 240,
+    "fbs": False,
+    "thalch": 120,
+    "exang": False,
+    "oldpeak": 2.0,
+    "ca": 1,
+}
+
+
+def scores(make_bronze, *rows):
+    staged = silver.validated(
+        silver.standardized(silver.typed(make_bronze(*[{"id": i, **r} for i, r in enumerate(rows)])))
+    )
+    fact = gold.fact_table(staged).orderBy("patient_id").collect()
+    return [row["calculated_risk_score"] for row in fact]
+
+
+def test_score_extremes_and_boundaries(make_bronze):
+    assert scores(make_bronze, FULL_SCORE, NO_SCORE, {}) == [18, 0, 0]
+
+
+def test_each_score_term_alone(make_bronze):
+    points = {
+        "age": 2,
+        "sex": 1,
+        "cp": 2,
+        "trestbps": 2,
+        "chol": 2,
+        "fbs": 1,
+        "thalch": 2,
+        "exang": 2,
+        "oldpeak": 2,
+        "ca": 2,
+    }
+    rows = [{**NO_SCORE, name: FULL_SCORE[name]} for name in points]
+    assert scores(make_bronze, *rows) == list(points.values())

@@ -15,6 +15,11 @@ def get_session(app_name: str = "triptych", master: str | None = None, **conf: s
     spark-submit.  Inputs are split at 512 MB because every job here either is
     map-only or shrinks to one row per group before its first shuffle: fewer,
     longer map tasks mean fewer partial rows to merge and fewer output files.
+
+    The JVM never compiles a method above 8000 bytes of bytecode.  The wide silver
+    projections can pass that when the source columns are computed too, and then
+    run about three times slower; with the limit below Spark generates smaller
+    methods for such a stage instead.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -25,6 +30,7 @@ def get_session(app_name: str = "triptych", master: str | None = None, **conf: s
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.files.maxPartitionBytes": "512m",
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.sql.parquet.compression.codec": "snappy",
         "spark.ui.showConsoleProgress": "false",
         **conf,

@@ -4,6 +4,8 @@ import os
 import sys
 
 import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -12,6 +14,9 @@ from triptych.session import get_session  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
+# A failed task surfaces as one or the other, depending on the action.
+SPARK_ERRORS = (PySparkException, Py4JJavaError)
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

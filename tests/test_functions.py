@@ -4,7 +4,6 @@ from decimal import Decimal
 
 import duckdb
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +20,7 @@ from triptych.functions import (
     to_int,
     to_type,
 )
+from tests.conftest import SPARK_ERRORS
 
 
 def column(spark, values, kind):
@@ -50,7 +50,7 @@ def test_to_int_rounds(spark, kind, values, expected):
 @pytest.mark.parametrize("text", ["?", "", "abc", "3000000000"])
 def test_unreadable_text_fails_unless_lenient(spark, text):
     df = column(spark, [text, "1"], "string")
-    with pytest.raises(PySparkException):
+    with pytest.raises(SPARK_ERRORS):
         apply(df, to_int(F.col("x"), T.StringType()))
     assert apply(df, to_int(F.col("x"), T.StringType(), "null")) == [None, 1]
 
@@ -58,7 +58,7 @@ def test_unreadable_text_fails_unless_lenient(spark, text):
 @pytest.mark.parametrize("value", [3e9, float("nan"), float("inf")])
 def test_doubles_outside_int_fail_unless_lenient(spark, value):
     df = column(spark, [value], "double")
-    with pytest.raises(PySparkException):
+    with pytest.raises(SPARK_ERRORS):
         apply(df, to_int(F.col("x"), T.DoubleType()))
     assert apply(df, to_int(F.col("x"), T.DoubleType(), "null")) == [None]
 
@@ -74,7 +74,7 @@ def test_to_type_boolean_and_bad_mode(spark):
 def test_percentages_round_like_duckdb_on_every_pair(spark):
     pairs = spark.range(1, 301).select(F.explode(F.sequence(F.lit(0), F.col("id"))).alias("n"), F.col("id").alias("m"))
     ours = pairs.select("n", "m", percent_of(F.col("n"), F.col("m")).alias("p")).collect()
-    theirs = duckdb.sql(
+    theirs = duckdb.connect().sql(
         "SELECT n, m, round(n * 100.0 / m, 2) AS p FROM range(1, 301) t(m), range(0, 301) s(n) WHERE n <= m"
     ).fetchall()
     assert sorted(map(tuple, ours)) == sorted(theirs)
@@ -84,7 +84,7 @@ def test_rounding_scales_first(spark):
     values = [0.145, 0.575, 2.5, -0.145, -2.675, 1e17, None]
     df = column(spark, values, "double")
     expected = [
-        duckdb.execute("SELECT round(CAST(? AS DOUBLE), 2)", [v]).fetchone()[0] for v in values
+        duckdb.connect().execute("SELECT round(CAST(? AS DOUBLE), 2)", [v]).fetchone()[0] for v in values
     ]
     assert apply(df, round_half_away(F.col("x"), 2)) == expected
     assert expected[0] == 0.14

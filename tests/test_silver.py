@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from triptych import config
 from triptych.plans import gold, silver
+from tests.conftest import SPARK_ERRORS
 
 
 def test_all_null_row(validate, make_bronze):
@@ -167,7 +167,7 @@ def test_columns_types_and_order(make_bronze):
 
 def test_typed_from_text_strict_and_lenient(make_bronze):
     text = make_bronze({"id": 1, "age": 63}).withColumn("age", F.lit("?"))
-    with pytest.raises(PySparkException):
+    with pytest.raises(SPARK_ERRORS):
         silver.typed(text).collect()
     assert silver.typed(text, on_error="null").first()["age"] is None
 

@@ -16,7 +16,7 @@ from checks.fixture import patients
 from triptych import config
 from triptych.config import RangeRule
 from triptych.functions import additive_score, breaks_any, bucketize, label_by_part, to_int
-from triptych.operators import measure_metrics, ordered, quality_stats, share_of_total, table_counts
+from triptych.operators import measure_metrics, ordered, reports, share_of_total, table_counts
 from triptych.plans import bronze, gold, jobs, silver, views
 from triptych.session import scratch_dir
 from triptych.sources import read_csv, read_table, write_csv, write_table
@@ -124,8 +124,8 @@ def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query
-def silver_quality_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_stats(_validated(spark, sf_dir))
+def quality_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.quality_stats(_validated(spark, sf_dir))
 
 
 @_query
@@ -256,7 +256,7 @@ def orders_standardized(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def lineitem_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "lineitem")
-    return quality_stats(rows.select(breaks_any(LINEITEM_RULES).alias("has_quality_issues")))
+    return reports.quality_stats(rows.select(breaks_any(LINEITEM_RULES).alias("has_quality_issues")))
 
 
 @_query

@@ -160,7 +160,7 @@ _LAYER_QUERIES = {
         f"SELECT {_text(stage)} AS stage, count(*) AS record_count FROM {stage}"
         for stage in ("typed", "standardized", "validated", "clean")
     ),
-    "silver_quality_stats": _QUALITY_STATS + "validated",
+    "quality_stats": _QUALITY_STATS + "validated",
     "quality_report": """
         SELECT 'Total Records' AS metric, count(*) AS value FROM bronze
         UNION ALL SELECT 'Records with Quality Issues', count(*) FROM validated

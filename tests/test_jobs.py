@@ -76,6 +76,23 @@ def test_export_of_other_tables_is_sorted(spark, full, tmp_path):
         assert exported == [tuple(r) for r in gold.in_order(stored, table).collect()]
 
 
+def test_export_is_split_above_the_row_limit(spark, full, tmp_path, monkeypatch):
+    from triptych.sources import csv
+
+    single = []
+    real = csv.write_csv
+
+    def spy(df, path, *, single_file=False):
+        single.append(single_file)
+        real(df, path, single_file=single_file)
+
+    monkeypatch.setattr(jobs, "write_csv", spy)
+    rows_stored = full.counts[config.FACT_TABLE]
+    for limit in (rows_stored - 1, rows_stored):
+        jobs.export_csv(spark, full.base, str(tmp_path), single_file_rows=limit)
+    assert single == [False, True]
+
+
 def test_gold_can_be_run_again_on_stored_silver(spark, full):
     again = jobs.run_gold(spark, full.base, parallel=1)
     assert again.counts == {t: full.counts[t] for t in gold.BUILDERS}
@@ -91,6 +108,15 @@ def test_layers(spark, source, tmp_path, layer, tables):
     assert bool(result.quality) == (layer == "silver")
 
 
+def test_inferred_types_give_the_same_silver_rows(spark, source, full, tmp_path):
+    jobs.run_all(spark, source, str(tmp_path), layer="silver", infer_schema=True)
+    inferred = read_table(spark, str(tmp_path), config.SILVER_TABLE)
+    stored = read_table(spark, full.base, config.SILVER_TABLE)
+    clocks = ("ingestion_timestamp", "validation_timestamp", "source_file")
+    assert inferred.dtypes == stored.dtypes
+    assert rows(inferred.drop(*clocks)) == rows(stored.drop(*clocks))
+
+
 def test_unknown_layer(spark, source, tmp_path):
     with pytest.raises(ValueError):
         jobs.run_all(spark, source, str(tmp_path), layer="platinum")

@@ -92,6 +92,11 @@ def test_inferred_types(spark, csv_file):
     assert df.dtypes == [("a", "int"), ("b", "double"), ("c", "boolean"), ("d", "string")]
 
 
+def test_other_separator(spark, csv_file):
+    path = csv_file("id;name;score;flag\n1;a,b;2;true\n")
+    assert rows(read_csv(spark, path, SCHEMA, sep=";")) == [(1, "a,b", 2.0, True)]
+
+
 def test_line_breaks_inside_quotes(spark, csv_file):
     path = csv_file('id,name,score,flag\n1,"a\nb",1,true\n')
     assert rows(read_csv(spark, path, SCHEMA, multiline=True)) == [(1, "a\nb", 1.0, True)]

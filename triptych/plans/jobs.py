@@ -104,18 +104,23 @@ def export_csv(
     base: str,
     target: str | None = None,
     tables: Sequence[str] = (config.FACT_TABLE,),
+    single_file_rows: int = 100_000,
 ) -> list[str]:
     """Stored tables as CSV folders for BI tools; by default the fact table.
 
-    The aggregate tables hold one row per group and become a single file; the
-    fact table stays split.
+    A table of at most ``single_file_rows`` rows becomes one file, which means one
+    task; a larger one stays split.  The rows are counted from the file footers.
     """
     target = (target or f"{base.rstrip('/')}/Export").rstrip("/")
     paths = []
     for table in tables:
+        stored = read_table(spark, base, table)
         paths.append(f"{target}/{table}.csv")
-        rows = gold.in_order(read_table(spark, base, table), table)
-        write_csv(rows, paths[-1], single_file=table in gold.SORT_KEYS)
+        write_csv(
+            gold.in_order(stored, table),
+            paths[-1],
+            single_file=stored.count() <= single_file_rows,
+        )
     return paths
 
 

@@ -11,7 +11,6 @@ from triptych.config import SOURCE_SCHEMA
 # it, and timestamps keep their microseconds and offset.
 _FORMAT = {
     "header": True,
-    "sep": ",",
     "quote": '"',
     "escape": '"',
     "ignoreLeadingWhiteSpace": False,
@@ -26,6 +25,7 @@ def read_csv(
     path: str | list[str],
     schema: T.StructType = SOURCE_SCHEMA,
     *,
+    sep: str = ",",
     infer_schema: bool = False,
     on_error: str = "raise",
     multiline: bool = False,
@@ -45,6 +45,7 @@ def read_csv(
         raise ValueError(f"on_error must be 'raise' or 'null', not {on_error!r}")
     reader = (
         spark.read.options(**_FORMAT)
+        .option("sep", sep)
         .option("multiLine", multiline)
         .option("mode", "FAILFAST" if on_error == "raise" else "PERMISSIVE")
     )
@@ -62,12 +63,13 @@ def read_csv(
     return reader.schema(in_file_order).option("enforceSchema", False).csv(path)
 
 
-def write_csv(df: DataFrame, path: str, *, single_file: bool = False) -> None:
+def write_csv(
+    df: DataFrame, path: str, *, sep: str = ",", single_file: bool = False
+) -> None:
     """Write a folder of CSV files, each with a header.
 
-    ``single_file`` is for small aggregate tables only: it sends all rows through
-    one task.
+    ``single_file`` sends all rows through one task: check their number first.
     """
     if single_file:
         df = df.coalesce(1)
-    df.write.mode("overwrite").options(**_FORMAT).csv(path)
+    df.write.mode("overwrite").options(**_FORMAT).option("sep", sep).csv(path)

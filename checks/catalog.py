@@ -298,6 +298,19 @@ def lineitem_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered(metrics, "l_returnflag", "l_linestatus")
 
 
+@_query
+def orders_price_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A measure of wide range: prices in cents."""
+    cents = to_int(F.col("o_totalprice") * 100, T.DoubleType()).alias("cents")
+    metrics = measure_metrics(
+        _table(spark, sf_dir, "orders").select("o_orderpriority", cents),
+        ["o_orderpriority"],
+        {"cents": "cents"},
+        wide=["cents"],
+    )
+    return ordered(metrics, "o_orderpriority")
+
+
 @_query
 def customer_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     terms = (

@@ -225,6 +225,12 @@ _TABLE_QUERIES = {
           median(d) AS median_discount, avg(q) AS mean_quantity, max(d) AS top_discount,
           count(*) FILTER (l_tax > 0.04) AS high_tax_count
         FROM whole GROUP BY l_returnflag, l_linestatus""",
+    "orders_price_metrics": """
+        WITH priced AS (
+          SELECT o_orderpriority, CAST(o_totalprice * 100 AS INTEGER) AS cents FROM orders)
+        SELECT o_orderpriority, count(*) AS n, avg(cents) AS avg_cents, min(cents) AS min_cents,
+          max(cents) AS max_cents, median(cents) AS median_cents
+        FROM priced GROUP BY o_orderpriority""",
     "customer_score": """
         SELECT c_custkey,
           (CASE WHEN c_acctbal > 5000 THEN 2 WHEN c_acctbal < 0 THEN 1 ELSE 0 END)

@@ -7,7 +7,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from triptych.operators import measure_metrics, share_of_total, top_rows
+from triptych.operators import exact_medians, measure_metrics, share_of_total, top_rows
 from triptych.plans import gold, silver, views
 
 
@@ -112,6 +112,42 @@ def test_measure_metrics_against_brute_force_with_a_hot_group(spark):
         assert row["max_d"] == max(r[4] for r in rows)
 
 
+@pytest.mark.parametrize("kind", ["int", "bigint"])
+@pytest.mark.parametrize("span", [3, 70_000, 2**31 - 1])
+def test_exact_medians_against_brute_force(spark, span, kind):
+    rng = random.Random(span)
+    data = [
+        (
+            rng.choice(["hot", "hot", "hot", None, "a"]),
+            rng.randrange(2),
+            None if rng.random() < 0.1 else rng.randrange(-span - 1, span),
+        )
+        for _ in range(3001)
+    ]
+    data += [("one", 0, -7), ("two", 0, -span - 1), ("two", 0, span), ("none", 0, None)]
+    df = spark.createDataFrame(data, f"k string, j int, x {kind}")
+    result = {(r[0], r[1]): r[2] for r in exact_medians(df, ["k", "j"], "x", "m").collect()}
+
+    groups = defaultdict(list)
+    for k, j, x in data:
+        if x is not None:
+            groups[k, j].append(x)
+    assert result == {key: float(statistics.median(values)) for key, values in groups.items()}
+
+
+def test_wide_measures_give_the_same_metrics(spark):
+    rng = random.Random(3)
+    data = [(rng.choice(["a", None]), rng.choice([None, 1, 2, 900]), rng.randrange(50)) for _ in range(500)]
+    df = spark.createDataFrame([*data, ("empty", None, None)], "k string, a int, b int")
+    measures = {"a": "a", "b": "b"}
+    narrow = measure_metrics(df, ["k"], measures)
+    expected = sorted(map(tuple, narrow.collect()), key=str)
+    for wide in (["a"], ["b"], ["a", "b"]):
+        result = measure_metrics(df, ["k"], measures, wide=wide)
+        assert set(result.columns) == set(narrow.columns)
+        assert sorted(map(tuple, result.select(*narrow.columns).collect()), key=str) == expected
+
+
 @pytest.mark.parametrize("measures", [{"b": "b"}, {"a": "a", "b": "b", "c": "c", "d": "d"}])
 def test_measure_metrics_with_any_number_of_measures(spark, measures):
     df = spark.createDataFrame([(1, 2, 3, 4)] * 3, "a int, b int, c int, d int").withColumn("k", F.lit(1))

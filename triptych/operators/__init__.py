@@ -1,5 +1,6 @@
 """DataFrame operators that work on any table."""
 
+from triptych.operators.medians import exact_medians
 from triptych.operators.metrics import measure_metrics
 from triptych.operators.ranking import ordered, top_rows
 from triptych.operators.reports import as_metric_rows, quality_stats, table_counts
@@ -7,6 +8,7 @@ from triptych.operators.share import share_of_total
 
 __all__ = [
     "as_metric_rows",
+    "exact_medians",
     "measure_metrics",
     "ordered",
     "quality_stats",

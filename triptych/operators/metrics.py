@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from triptych.operators.medians import exact_medians, join_on_keys
+
 
 def measure_metrics(
     df: DataFrame,
@@ -17,6 +19,7 @@ def measure_metrics(
     averages: Mapping[str, str] | None = None,
     maxima: Mapping[str, str] | None = None,
     conditional_counts: Mapping[str, str | Column] | None = None,
+    wide: Sequence[str] = (),
 ) -> DataFrame:
     """Per group: rows, then ``avg_x, min_x, max_x, median_x`` of each measure.
 
@@ -28,46 +31,60 @@ def measure_metrics(
     each measure, combined on the map side: a group that holds a third of all
     rows arrives as a short list of values with their counts, spread over the
     reducers by value.  Only these lists meet again per group.  A list is as
-    long as the measure has distinct values, so measures must have a limited
-    range, as whole numbers checked by range rules have.
+    long as the measure has distinct values: short for whole numbers checked by
+    range rules.  Name the suffixes of measures without such a range in ``wide``;
+    their medians are found without a list per group (see ``exact_medians``).
     """
-    averages, maxima = averages or {}, maxima or {}
-    conditional_counts = conditional_counts or {}
-    columns = list(measures.values())
+    narrow = {suffix: column for suffix, column in measures.items() if suffix not in wide}
+    plain = {f"wide_{suffix}": measures[suffix] for suffix in wide}
+    averaged = {**plain, **(averages or {})}
+    maximal = {**plain, **(maxima or {})}
+    counted = conditional_counts or {}
 
     by_value = df.groupingSets(
-        [[*map(F.col, keys), F.col(column)] for column in columns],
-        *map(F.col, keys),
-        *map(F.col, columns),
+        [[*keys, column] for column in narrow.values()] or [[*keys]], *keys, *narrow.values()
     ).agg(
         F.grouping_id().alias("_set"),
         F.count(F.lit(1)).alias("_rows"),
-        *[F.sum(column).alias(f"_sum_{name}") for name, column in averages.items()],
-        *[F.count(column).alias(f"_count_{name}") for name, column in averages.items()],
-        *[F.max(column).alias(f"_max_{name}") for name, column in maxima.items()],
-        *[F.count_if(test).alias(f"_if_{name}") for name, test in conditional_counts.items()],
+        *[F.sum(column).alias(f"_sum_{name}") for name, column in averaged.items()],
+        *[F.count(column).alias(f"_count_{name}") for name, column in averaged.items()],
+        *[F.min(column).alias(f"_min_{name}") for name, column in plain.items()],
+        *[F.max(column).alias(f"_max_{name}") for name, column in maximal.items()],
+        *[F.count_if(test).alias(f"_if_{name}") for name, test in counted.items()],
     )
 
-    # Every set covers all rows, so what does not depend on a measure is taken
-    # from the first one.  Its id has a zero for the first measure only.
-    in_first_set = F.col("_set") == F.lit((1 << (len(columns) - 1)) - 1)
+    # Every set covers all rows, so what does not depend on a narrow measure is
+    # taken from the first set.  Its id has a zero for the first measure only.
+    in_first_set = F.col("_set") == F.lit((1 << max(len(narrow) - 1, 0)) - 1)
 
     def once(name: str) -> Column:
         return F.sum(F.when(in_first_set, F.col(name)))
 
+    def average(name: str) -> Column:
+        return once(f"_sum_{name}") / once(f"_count_{name}")
+
     outputs = [once("_rows").alias(count)]
     for suffix, column in measures.items():
-        value, rows = F.col(column), F.col("_rows")
-        filled = F.sum(F.when(value.isNotNull(), rows))
+        if suffix in narrow:
+            value, rows = F.col(column), F.col("_rows")
+            mean = F.sum(value * rows) / F.sum(F.when(value.isNotNull(), rows))
+            low, high = F.min(value), F.max(value)
+        else:
+            mean = average(f"wide_{suffix}")
+            low, high = F.min(f"_min_wide_{suffix}"), F.max(f"_max_wide_{suffix}")
         outputs += [
-            (F.sum(value * rows) / filled).alias(f"avg_{suffix}"),
-            F.min(value).alias(f"min_{suffix}"),
-            F.max(value).alias(f"max_{suffix}"),
-            F.percentile(value, 0.5, rows).alias(f"median_{suffix}"),
+            mean.alias(f"avg_{suffix}"),
+            low.alias(f"min_{suffix}"),
+            high.alias(f"max_{suffix}"),
         ]
-    outputs += [
-        (once(f"_sum_{name}") / once(f"_count_{name}")).alias(name) for name in averages
-    ]
-    outputs += [F.max(f"_max_{name}").alias(name) for name in maxima]
-    outputs += [once(f"_if_{name}").alias(name) for name in conditional_counts]
-    return by_value.groupBy(*keys).agg(*outputs)
+        if suffix in narrow:
+            outputs.append(F.percentile(value, 0.5, rows).alias(f"median_{suffix}"))
+    outputs += [average(name).alias(name) for name in averages or {}]
+    outputs += [F.max(f"_max_{name}").alias(name) for name in maxima or {}]
+    outputs += [once(f"_if_{name}").alias(name) for name in counted]
+    result = by_value.groupBy(*keys).agg(*outputs)
+
+    for suffix in wide:
+        medians = exact_medians(df, keys, measures[suffix], f"median_{suffix}")
+        result = join_on_keys(result, medians, keys, "left")
+    return result

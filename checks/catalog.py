@@ -138,6 +138,16 @@ def age_group_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.age_group_distribution(_clean(spark, sf_dir))
 
 
+@_query
+def sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over the stage views."""
+    views.register_views({config.BRONZE_TABLE: _bronze(spark, sf_dir)})
+    return spark.sql(
+        """SELECT sex, has_quality_issues, COUNT(*) AS n, MAX(max_heart_rate) AS top_rate
+        FROM silver_stage3_validated GROUP BY sex, has_quality_issues"""
+    )
+
+
 # --- gold -------------------------------------------------------------------------
 
 

@@ -170,6 +170,8 @@ _LAYER_QUERIES = {
           count(*) FILTER (age IS NULL OR sex IS NULL OR trestbps IS NULL OR chol IS NULL)
           FROM bronze""",
     "age_group_distribution": 'SELECT age_group, count(*) AS "count" FROM clean GROUP BY age_group',
+    "sql_views": "SELECT sex, has_quality_issues, count(*) AS n, max(max_heart_rate) AS top_rate"
+    " FROM validated GROUP BY ALL",
     "gold_demographics": "SELECT * FROM demographics",
     "gold_risk_factors": "SELECT * FROM risk",
     "gold_severity": "SELECT * FROM severity",

@@ -55,6 +55,14 @@ def test_stored_tables_equal_the_lazy_ones(spark, full, bronze_rows):
         assert stored.columns == build(clean).columns
 
 
+def test_stored_tables_as_sql_views(spark, full):
+    views.register_views(jobs.stored_tables(spark, full.base))
+    for table, count in full.counts.items():
+        assert spark.sql(f"SELECT count(*) FROM {table}").first()[0] == count
+    for view in config.STAGE_VIEWS:
+        assert spark.table(view).count() == full.counts[config.BRONZE_TABLE]
+
+
 def test_ingestion_time_is_stored_once(spark, full):
     bronze_table = read_table(spark, full.base, config.BRONZE_TABLE)
     assert bronze_table.select("ingestion_timestamp").distinct().count() == 1

@@ -163,6 +163,12 @@ SEVERITY_TABLE = "gold_severity_distribution"
 CLINICAL_TABLE = "gold_clinical_metrics"
 FACT_TABLE = "gold_powerbi_fact_table"
 
+STAGE_VIEWS = (
+    "silver_stage1_typed",
+    "silver_stage2_standardized",
+    "silver_stage3_validated",
+)
+
 LAYER_PATHS = {
     BRONZE_TABLE: "Bronze/bronze_layer_heart_data.parquet",
     SILVER_TABLE: "Silver/silver_layer_heart_data.parquet",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,18 @@ QUALITY_METRICS = {
 }
 
 
+def register_views(tables: Mapping[str, DataFrame]) -> None:
+    """Make layer tables, and the silver stages over bronze, available to SQL."""
+    for name, table in tables.items():
+        table.createOrReplaceTempView(name)
+    if config.BRONZE_TABLE in tables:
+        typed = silver.typed(tables[config.BRONZE_TABLE])
+        standardized = silver.standardized(typed)
+        stages = (typed, standardized, silver.validated(standardized))
+        for name, stage in zip(config.STAGE_VIEWS, stages):
+            stage.createOrReplaceTempView(name)
+
+
 def quality_report(
     bronze: DataFrame,
     rules: Sequence[RangeRule] = config.RANGE_RULES,

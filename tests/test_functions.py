@@ -55,6 +55,19 @@ def test_unreadable_text_fails_unless_lenient(spark, text):
     assert apply(df, to_int(F.col("x"), T.StringType(), "null")) == [None, 1]
 
 
+@pytest.mark.parametrize(
+    ("kind", "values", "expected"),
+    [
+        ("double", [3e9, 2.5], [3_000_000_000, 2]),
+        ("string", ["9223372036854775807", "2.5"], [9_223_372_036_854_775_807, 3]),
+        ("bigint", [2**62], [2**62]),
+    ],
+)
+def test_bigint_target_rounds_too(spark, kind, values, expected):
+    df = column(spark, values, kind)
+    assert apply(df, to_type(F.col("x"), df.schema["x"].dataType, "bigint")) == expected
+
+
 @pytest.mark.parametrize("value", [3e9, float("nan"), float("inf")])
 def test_doubles_outside_int_fail_unless_lenient(spark, value):
     df = column(spark, [value], "double")

@@ -125,6 +125,19 @@ def test_inferred_types_give_the_same_silver_rows(spark, source, full, tmp_path)
     assert rows(inferred.drop(*clocks)) == rows(stored.drop(*clocks))
 
 
+def test_ids_beyond_int_need_another_type(spark, tmp_path):
+    path = tmp_path / "big.csv"
+    path.write_text(",".join(config.SOURCE_SCHEMA.names) + "\n" + f"{2**40}" + "," * 15 + "\n")
+    base = str(tmp_path / "base")
+    jobs.run_bronze(spark, str(path), base)
+    with pytest.raises(SPARK_ERRORS):
+        jobs.run_silver(spark, base)
+    columns = [("id", "patient_id", "bigint"), *config.SILVER_COLUMNS[1:]]
+    jobs.run_silver(spark, base, columns=columns)
+    jobs.run_gold(spark, base)
+    assert read_table(spark, base, config.FACT_TABLE).first()["patient_id"] == 2**40
+
+
 def test_unknown_layer(spark, source, tmp_path):
     with pytest.raises(ValueError):
         jobs.run_all(spark, source, str(tmp_path), layer="platinum")

@@ -68,12 +68,17 @@ def run_silver(
     base: str,
     *,
     rules: Sequence[RangeRule] = config.RANGE_RULES,
+    columns: Sequence[tuple[str, str, str]] = config.SILVER_COLUMNS,
     on_error: str = "raise",
 ) -> JobResult:
-    """Bronze table to silver table: one pass without a shuffle, metrics included."""
+    """Bronze table to silver table: one pass without a shuffle, metrics included.
+
+    Pass other ``columns`` to change a type, for instance to bigint for ids that
+    no longer fit an int.
+    """
     quality = Observation()
     checked = silver.checked(
-        read_table(spark, base, config.BRONZE_TABLE), rules, on_error=on_error
+        read_table(spark, base, config.BRONZE_TABLE), rules, columns=columns, on_error=on_error
     ).observe(quality, *silver.quality_metrics())
     write_table(silver.clean(checked).drop("has_null_critical"), base, config.SILVER_TABLE)
     metrics = quality.get

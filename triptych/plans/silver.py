@@ -95,13 +95,14 @@ def checked(
     bronze: DataFrame,
     rules: Sequence[RangeRule] = config.RANGE_RULES,
     critical: Sequence[str] = config.CRITICAL_SOURCE_COLUMNS,
+    columns: Sequence[tuple[str, str, str]] = config.SILVER_COLUMNS,
     on_error: str = "raise",
 ) -> DataFrame:
     """Validated rows that also say whether a critical source value was null."""
     flagged = bronze.withColumn("has_null_critical", any_null(critical))
     return (
         flagged.transform(
-            typed, keep=(*config.AUDIT_COLUMNS, "has_null_critical"), on_error=on_error
+            typed, columns, keep=(*config.AUDIT_COLUMNS, "has_null_critical"), on_error=on_error
         )
         .transform(standardized)
         .transform(validated, rules=rules)

@@ -186,6 +186,16 @@ def test_other_rules_can_be_passed(make_bronze):
     assert [row["has_quality_issues"] for row in flags] == [False, True]
 
 
+def test_other_buckets_can_be_passed(make_bronze):
+    df = silver.standardized(silver.typed(make_bronze({"age": 30, "thalch": 90}, {})))
+    ages, rates = ((30,), ("young", "old")), ((80,), ("slow", "fast"))
+    rows = silver.validated(df, age_buckets=ages, heart_rate_buckets=rates).collect()
+    assert sorted((r["age_group"], r["max_heart_rate_category"]) for r in rows) == [
+        ("Unknown", "slow"),
+        ("old", "fast"),
+    ]
+
+
 FULL_SCORE = {
     "age": 61,
     "sex": "m",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from triptych import config
-from triptych.plans import bronze
+from triptych.plans import bronze, silver
 from triptych.session import scratch_dir
 from triptych.sources import read_csv, read_table, table_path, write_csv, write_table
 from tests.conftest import SPARK_ERRORS
@@ -61,6 +61,16 @@ def test_columns_are_matched_by_name_and_unknown_ones_kept(spark, csv_file):
     assert rows(df) == [(True, "007", 1, 2.0, "a")]
 
 
+def test_letter_case_of_the_header_does_not_matter(spark, tmp_path):
+    path = tmp_path / "upper.csv"
+    names = [name.upper() for name in config.SOURCE_SCHEMA.names]
+    path.write_text(",".join(names) + "\n7,55,m,,,120.5,,,,,,,,,,\n")
+    rows_read = bronze.with_audit(read_csv(spark, str(path)), "upper.csv")
+    assert rows_read.columns[:16] == names
+    row = silver.typed(rows_read).first()
+    assert (row["patient_id"], row["age"], row["resting_blood_pressure"]) == (7, 55, 120)
+
+
 def test_missing_column_is_an_error(spark, csv_file):
     with pytest.raises(ValueError, match="score"):
         read_csv(spark, csv_file("id,name,flag\n"), SCHEMA)

@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 
 def _first_match(branches: Iterable[tuple[Column, object]]) -> Column:
     """``F.when`` chain over (condition, value) pairs; null when none holds."""
-    chain = F
-    for condition, value in branches:
+    (condition, value), *others = branches
+    chain = F.when(condition, value)
+    for condition, value in others:
         chain = chain.when(condition, value)
-    if chain is F:
-        raise ValueError("at least one rule is needed")
     return chain
 
 

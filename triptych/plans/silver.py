@@ -23,6 +23,9 @@ from triptych.functions import (
     to_type,
 )
 
+# Edges and labels, as bucketize takes them.
+Buckets = tuple[Sequence[float], Sequence[str]]
+
 
 def typed(
     bronze: DataFrame,
@@ -31,10 +34,10 @@ def typed(
     on_error: str = "raise",
 ) -> DataFrame:
     """Cast and rename; ``keep`` columns pass through unchanged."""
-    types = {field.name: field.dataType for field in bronze.schema.fields}
+    types = {field.name.lower(): field.dataType for field in bronze.schema.fields}
     return bronze.select(
         *[
-            to_type(F.col(source), types[source], target, on_error).alias(name)
+            to_type(F.col(source), types[source.lower()], target, on_error).alias(name)
             for source, name, target in columns
         ],
         *keep,
@@ -67,19 +70,20 @@ def standardized(
 def validated(
     df: DataFrame,
     rules: Sequence[RangeRule] = config.RANGE_RULES,
+    age_buckets: Buckets = (config.AGE_EDGES, config.AGE_GROUPS),
+    heart_rate_buckets: Buckets = (config.HEART_RATE_EDGES, config.HEART_RATE_CATEGORIES),
 ) -> DataFrame:
-    """Flag rows out of range and bucket age and heart rate."""
+    """Flag rows out of range and bucket age and heart rate.
+
+    A null age is unknown; a null heart rate counts as the lowest category.
+    """
+    lowest_rate = heart_rate_buckets[1][0]
     return df.withColumns(
         {
             "has_quality_issues": breaks_any(rules),
-            "age_group": bucketize(
-                F.col("age"), config.AGE_EDGES, config.AGE_GROUPS, config.UNKNOWN
-            ),
+            "age_group": bucketize(F.col("age"), *age_buckets, config.UNKNOWN),
             "max_heart_rate_category": bucketize(
-                F.col("max_heart_rate"),
-                config.HEART_RATE_EDGES,
-                config.HEART_RATE_CATEGORIES,
-                config.HEART_RATE_CATEGORIES[0],
+                F.col("max_heart_rate"), *heart_rate_buckets, lowest_rate
             ),
             "validation_timestamp": F.current_timestamp(),
         }

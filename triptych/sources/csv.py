@@ -32,8 +32,8 @@ def read_csv(
 ) -> DataFrame:
     """Read CSV files that have a header line.
 
-    Columns are matched to ``schema`` by name, whatever their order in the file;
-    columns the schema does not know are kept as text.  Only the header is read
+    Columns are matched to ``schema`` by name, whatever their order and letter case
+    in the file; columns the schema does not know are kept as text.  Only the header is read
     to find the order, so the data is scanned once.  ``infer_schema`` takes all
     types from the data instead, at the price of a second scan.
 
@@ -53,11 +53,12 @@ def read_csv(
         return reader.option("inferSchema", True).csv(path)
 
     header = reader.csv(path).columns
-    missing = [name for name in schema.names if name not in header]
+    known = {field.name.lower(): field.dataType for field in schema.fields}
+    missing = known.keys() - {name.lower() for name in header}
     if missing:
-        raise ValueError(f"columns missing from {path}: {', '.join(missing)}")
+        raise ValueError(f"columns missing from {path}: {', '.join(sorted(missing))}")
     in_file_order = T.StructType(
-        [schema[n] if n in schema.names else T.StructField(n, T.StringType()) for n in header]
+        [T.StructField(name, known.get(name.lower(), T.StringType())) for name in header]
     )
     # enforceSchema=False makes every file's header agree with the first one's.
     return reader.schema(in_file_order).option("enforceSchema", False).csv(path)

@@ -139,8 +139,8 @@ def copies(
     ``per_bucket``; each bucket is rounded down to one undecided row, and these
     rows go to the next level of the tree until one is left per source.  A source
     with a third of all rows thus has a third of the buckets.  The last row of a
-    source is rounded by a draw of its own: taken sizes miss the target by less
-    than one row's size.
+    source has nobody to pass its mass to and is rounded to the nearest: taken
+    sizes miss the target by at most half that row's size.
 
     Draws are hashes of the row's id and the seed, so reruns agree; rows without
     an id, or with a repeated one, also draw by ``_row``.  Rows of size 0 are taken
@@ -175,9 +175,9 @@ def copies(
         units = left.select("source", "pending.*")
         most_rows, level = (buckets if buckets > 1 else 0), level + 1
     if decided:
-        # Done in the tree; what is still pending is the last row of each source.
-        own = F.pmod(F.xxhash64("key", F.lit(seed - 1)), F.lit(1 << 52)) / F.lit(float(1 << 52))
-        decided.append(units.select("row", "key", "size", F.when(own < F.col("p"), 1.0).otherwise(0.0).alias("p")))
+        # What is still pending is the last row of each source, as a rule one of the largest.
+        nearest = F.when(F.col("p") >= 0.5, 1.0).otherwise(0.0)
+        decided.append(units.select("row", "key", "size", nearest.alias("p")))
         taken = reduce(DataFrame.unionAll, decided).filter("p = 1.0").select(F.col("row").alias("_row"), F.lit(1).alias("_extra"))
         rated = rated.join(taken, "_row", "left")
     else:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from triptych.llm import chat, mixing, packing, sharding, urls
+from triptych.llm import chat, dedup, mixing, packing, sharding, urls
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -28,6 +28,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op3_streaming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.dedup_report(_table(spark, sf_dir, "documents"))
+
+
 def op4_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.collapse_snapshots(_table(spark, sf_dir, "conversations"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
     for function in (
         op1_best_fit_packing,
+        op3_streaming_dedup,
         op4_chat_snapshots,
         op5_pivotal_mix,
         op8_url_filter,
@@ -55,4 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_chat_snapshots": chat.COLLAPSE_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op3_streaming_dedup": dedup.DEDUP_SQL,
+    "op4_chat_snapshots": chat.COLLAPSE_SQL,
+}

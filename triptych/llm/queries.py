@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from triptych.llm import chat, dedup, mixing, packing, sharding, urls
+from triptych.llm import chat, dedup, language, mixing, neighbours, packing, sharding, urls
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -40,10 +41,19 @@ def op5_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
 
 
+def op7_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest_neighbours(embeddings, F.col("vec_id") % 50 == 0)
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
 def op10_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
@@ -55,7 +65,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_streaming_dedup,
         op4_chat_snapshots,
         op5_pivotal_mix,
+        op7_posting_lists,
         op8_url_filter,
+        op9_language,
         op10_vector_sharding,
     )
 }

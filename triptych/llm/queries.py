@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triptych.llm import chat, dedup, language, mixing, neighbours, packing, sharding, urls
+from triptych.llm import chat, dedup, language, mixing, near, neighbours, packing, sharding, urls
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -41,6 +41,11 @@ def op5_pivotal_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents"))
 
 
+def op6_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    like = near.Likeness(width=3, numerator=90, denominator=100)
+    return near.near_report(_table(spark, sf_dir, "documents"), like)
+
+
 def op7_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = _table(spark, sf_dir, "embeddings")
     return neighbours.nearest_neighbours(embeddings, F.col("vec_id") % 50 == 0)
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_streaming_dedup,
         op4_chat_snapshots,
         op5_pivotal_mix,
+        op6_parity_join,
         op7_posting_lists,
         op8_url_filter,
         op9_language,

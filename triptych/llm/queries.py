@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triptych.llm import chat, dedup, language, mixing, near, neighbours, packing, sharding, urls
+from triptych.llm import chat, dedup, katz, language, mixing, near, neighbours, packing, sharding, urls
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -29,6 +29,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op2_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op3_streaming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.dedup_report(_table(spark, sf_dir, "documents"))
 
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
     for function in (
         op1_best_fit_packing,
+        op2_katz_scores,
         op3_streaming_dedup,
         op4_chat_snapshots,
         op5_pivotal_mix,

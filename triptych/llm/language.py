@@ -9,7 +9,7 @@ cosine with its vector.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -146,23 +146,23 @@ def train_prototypes(
 
 
 def predict(
-    docs: DataFrame, languages: list[str], prototypes: np.ndarray, *, id_columns: list[str]
+    docs: DataFrame, languages: list[str], prototypes: np.ndarray, *, keep: Sequence[str]
 ) -> DataFrame:
-    """``id_columns`` and ``text`` of ``docs`` to ``id_columns``, lang_pred and score.
+    """The columns ``keep`` of ``docs``, with lang_pred and score of its ``text``.
 
     The score is the largest cosine, 0 if negative.  Texts that are null or have
     no letter, and all texts if no language was learned, get ``und`` and 0.
     """
     dimensions = prototypes.shape[1]
-    rows = docs.select(*id_columns, "text")
-    schema = rows.select(*id_columns).schema.add("lang_pred", "string").add("score", "double")
+    rows = docs.select(*keep, F.col("text").alias("_text"))
+    schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
     names = np.array([*languages, UNDETERMINED], object)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             best = np.full(batch.num_rows, len(languages))
             score = np.zeros(batch.num_rows)
-            for first, texts in _groups(batch.column(len(id_columns))):
+            for first, texts in _groups(batch.column(len(keep))):
                 if not languages:
                     break
                 vectors, has_letter = text_vectors(texts, dimensions)
@@ -170,7 +170,7 @@ def predict(
                 own = slice(first, first + len(texts))
                 best[own] = np.where(has_letter, cosines.argmax(axis=1), len(languages))
                 score[own] = np.where(has_letter, cosines.max(axis=1), 0)
-            columns = [batch.column(i) for i in range(len(id_columns))]
+            columns = [batch.column(i) for i in range(len(keep))]
             columns += [pa.array(names[best], pa.string()), pa.array(score, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
@@ -193,4 +193,4 @@ def identify(docs: DataFrame, **options) -> DataFrame:
         "held_out", held_out(F.col("doc_id"))
     )
     learned = train_prototypes(rows.filter(~F.col("held_out")), **options)
-    return predict(rows, *learned, id_columns=["doc_id", "held_out"])
+    return predict(rows, *learned, keep=["doc_id", "held_out"])

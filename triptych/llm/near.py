@@ -302,6 +302,28 @@ def _may_be_alike(like: Likeness, left: str, right: str) -> Column:
     return near & (distance <= like.apart(n + m))
 
 
+def _open_rows(shared: DataFrame, root: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of the bands that touch several components: with root, and the band's largest as main."""
+    placed = shared.join(root.withColumnRenamed("node", "rid"), "rid", "left").select(
+        "key", "rid", F.coalesce("root", "rid").alias("root")
+    )
+    mixed = (
+        placed.groupBy("key", "root")
+        .count()
+        .groupBy("key")
+        .agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
+        .filter("roots > 1")
+    )
+    return placed.join(mixed, "key").join(known, "rid")
+
+
+def _as_pairs(joined: DataFrame) -> DataFrame:
+    """Distinct (a, b) of a join of rows x and y."""
+    return joined.select(
+        F.greatest("x.rid", "y.rid").alias("a"), F.least("x.rid", "y.rid").alias("b")
+    ).distinct()
+
+
 def near_duplicates(rows: DataFrame, like: Likeness, store: Store) -> DataFrame:
     """Groups of a stored table ``rows`` (_row, _id, text).
 
@@ -312,12 +334,15 @@ def near_duplicates(rows: DataFrame, like: Likeness, store: Store) -> DataFrame:
 
     1. Rows that share a band with others are found, in packed blocks.
     2. Every one is compared with the first of its band; links give components.
-    3. Bands whose rows are still in several components: the rows outside the
-       band's largest component are compared with all rows of other components.
-       After this no like pair is left untested or unconnected.
-
-    The bands of one large group of near copies are thus settled by about as many
-    comparisons as they have rows; pairs within a component are never listed.
+    3. In bands whose rows are still in several components, every row is compared
+       with the band's most central one, which meets most others in all its bands:
+       of near copies, the one with the fewest changes.
+    4. Where that leaves several components, the rows outside a band's largest one
+       are compared with all rows of other components.  After this no like pair is
+       left untested or unconnected.
+
+    The bands of one large group of near copies are thus settled by about twice as
+    many comparisons as they have rows; pairs within a component are never listed.
     """
     texts = rows.select("_row", "text", "_id")
     described = store.save(_describe(texts, like), "described")
@@ -360,34 +385,38 @@ def near_duplicates(rows: DataFrame, like: Likeness, store: Store) -> DataFrame:
     links = store.save(_verified(tried, sets, like), "links1")
     root = components(links, store, "first")
 
-    # Rows outside the largest component of their band, against those of other components.
-    placed = store.save(
-        members.select("key", F.explode(F.array("rid", "hid")).alias("rid"))
-        .distinct()
-        .join(root.withColumnRenamed("node", "rid"), "rid", "left")
-        .select("key", "rid", F.coalesce("root", "rid").alias("root")),
-        "placed",
+    shared = store.save(
+        members.select("key", F.explode(F.array("rid", "hid")).alias("rid")).distinct(), "shared"
     )
-    mixed = (
-        placed.groupBy("key", "root")
-        .count()
-        .groupBy("key")
-        .agg(F.max_by("root", "count").alias("main"), F.count(F.lit(1)).alias("roots"))
-        .filter("roots > 1")
+    degrees = shared.join(shared.groupBy("key").agg(F.count(F.lit(1)).alias("rows")), "key")
+    known = store.save(
+        sketches.join(degrees.groupBy("rid").agg(F.sum("rows").alias("degree")), "rid"), "known"
     )
-    open_rows = store.save(placed.join(mixed, "key").join(sketches, "rid"), "open")
-    outside = open_rows.filter("root != main").alias("x")
-    pairs = outside.join(
+    open_rows = store.save(_open_rows(shared, root, known), "open1")
+    centre = F.max_by(F.struct("rid", "root", "n", *_SKETCH), F.struct("degree", "rid")).alias("y")
+    pairs = (
+        open_rows.alias("x")
+        .join(open_rows.groupBy("key").agg(centre).alias("centres"), "key")
+        .filter((F.col("x.root") != F.col("y.root")) & _may_be_alike(like, "x", "y"))
+    )
+    central = store.save(_as_pairs(pairs).join(tried, ["a", "b"], "left_anti"), "tried2")
+    links = links.unionAll(store.save(_verified(central, sets, like), "links2"))
+    root = components(links, store, "second")
+    store.release()
+
+    open_rows = store.save(_open_rows(shared, root, known), "open2")
+    pairs = open_rows.filter("root != main").alias("x").join(
         open_rows.alias("y"),
         (F.col("x.key") == F.col("y.key"))
         & (F.col("x.root") != F.col("y.root"))
         & ((F.col("y.root") == F.col("y.main")) | (F.col("x.rid") > F.col("y.rid")))
         & _may_be_alike(like, "x", "y"),
-    ).select(F.greatest("x.rid", "y.rid").alias("a"), F.least("x.rid", "y.rid").alias("b"))
-    new = store.save(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "tried2")
+    )
+    tried = tried.unionAll(central)
+    rest = store.save(_as_pairs(pairs).join(tried, ["a", "b"], "left_anti"), "tried3")
+    links = links.unionAll(store.save(_verified(rest, sets, like), "links3"))
+    root = components(links, store, "third")
     store.release()
-    more = store.save(_verified(new, sets, like), "links2")
-    root = components(links.unionAll(more), store, "all")
 
     in_group = node_of.join(root.withColumnRenamed("node", "rid"), "rid", "left").select(
         "_row", "_id", F.coalesce("root", "rid").alias("root")

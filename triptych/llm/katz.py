@@ -6,7 +6,7 @@ Good-Turing's; a(h) makes every P(. | h) sum to one over the words seen and one
 unknown word.
 
 A join of every token with the n-gram tables would move the corpus several times.
-Instead blocks of about a million tokens exchange with the tables: each asks once
+Instead blocks of about half a million tokens exchange with the tables: each asks once
 for every distinct word, and once for every distinct pair, of its own.  Questions
 and answers travel as packed arrays.
 """
@@ -29,6 +29,7 @@ from triptych.llm.words import mix, text_slices, word_hashes
 #: Good-Turing discounts apply to counts up to this one (Katz's k).
 TRUSTED_COUNT = 5
 
+_GATHERED = 300_000
 _START, _UNKNOWN, _FIRST_ID = 0, 1, 2
 _END_OF_TEXT = mix(np.full(1, 0xE0D, np.uint64))[0]
 
@@ -196,8 +197,38 @@ def _block_words(blocks: DataFrame) -> DataFrame:
 def _encoded(blocks: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Blocks with the vocabulary's id and count of each of their words."""
     asked = _block_words(blocks).select("block", "place", "word")
-    answers = asked.join(vocabulary, "word", "left").groupBy("block").agg(
-        F.collect_list(F.struct("place", F.coalesce("id", F.lit(_UNKNOWN)).alias("id"), F.coalesce("count", F.lit(0)).alias("count"))).alias("answers")
+    found = asked.join(vocabulary, "word", "left").select(
+        "block",
+        "place",
+        F.coalesce("id", F.lit(_UNKNOWN)).alias("id"),
+        F.coalesce("count", F.lit(0)).alias("count"),
+    )
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            block, *rest = np.concatenate(held, axis=1)
+            order = np.lexsort((rest[0], block))
+            block = block[order]
+            edges = np.flatnonzero(np.diff(block, prepend=-1, append=-1))
+            data = [packed(*(x[order[i:j]] for x in rest)) for i, j in zip(edges[:-1], edges[1:], strict=True)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(block[edges[:-1]]), pa.array(data, pa.binary())], names=["block", "data"]
+            )
+
+        for batch in batches:
+            held.append(np.stack([column.to_numpy() for column in batch.columns]))
+            if sum(x.shape[1] for x in held) >= _GATHERED:
+                yield flush()
+                held = []
+        if held:
+            yield flush()
+
+    answers = (
+        found.mapInArrow(gather, "block bigint, data binary")
+        .groupBy("block")
+        .agg(F.collect_list("data").alias("answers"))
     )
     names = ["block", "ids", "held", "sizes", "tokens", "known"]
 
@@ -205,7 +236,8 @@ def _encoded(blocks: DataFrame, vocabulary: DataFrame) -> DataFrame:
         for batch in batches:
             known = []
             for answer in batch.column(5):
-                place, ids, count = (np.asarray(x) for x in answer.values.flatten())
+                parts = [unpacked(part.as_py(), 3) for part in answer.values]
+                place, ids, count = np.concatenate(parts, axis=1)
                 order = np.argsort(place)
                 known.append(packed(ids[order], count[order]))
             columns = [batch.column(i) for i in range(5)]
@@ -455,7 +487,7 @@ def _counts_of_counts(row: dict | None) -> list[int]:
     return [int((row or {}).get(f"n{r}") or 0) for r in range(1, TRUSTED_COUNT + 2)]
 
 
-def score_documents(docs: DataFrame, *, block_tokens: int = 1_000_000) -> DataFrame:
+def score_documents(docs: DataFrame, *, block_tokens: int = 500_000) -> DataFrame:
     """Scores of all texts of ``docs`` (doc_id, text), learned from those not held out.
 
     A text is held out when the crc32 of its id as text is divisible by 10, or its
@@ -497,12 +529,13 @@ def score_documents(docs: DataFrame, *, block_tokens: int = 1_000_000) -> DataFr
         F.size(F.filter("held", lambda x: ~x)).alias("learned"),
     ).agg(F.sum("tokens").alias("tokens"), F.sum("learned").alias("learned")).first()
     starts = int(sizes["learned"] or 0)
-    buckets = max(1, (sizes["tokens"] or 0) // (2 * block_tokens))
+    buckets = max(1, (sizes["tokens"] or 0) // (4 * block_tokens))
     hot_from = max(total / buckets / 4, 1)
     hot_ids = [row["id"] for row in vocabulary.filter(F.col("count") >= hot_from).select("id").collect()]
     contexts = Contexts(np.array(sorted([_START, *hot_ids]), np.uint64), buckets)
 
     encoded = store.save(_encoded(blocks, vocabulary.select("word", "id", "count")), "encoded")
+    store.drop("blocks", "counted")
     store.release()
     pair_counts = store.save(_count_pairs(encoded, contexts, starts), "pair_counts")
     store.release()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -30,14 +31,24 @@ class Store:
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, *names: str) -> None:
+        """Remove tables of this run that no later step reads."""
+        jvm = self.spark.sparkContext._jvm
+        for name in names:
+            path = jvm.org.apache.hadoop.fs.Path(self.path(name))
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
     def release(self) -> None:
         """Let Spark remove the shuffle files of jobs whose tables are stored.
 
         Spark drops them when the driver's JVM collects its garbage; with a large
-        heap that can be long after the job.
+        heap that can be long after the job.  Just after a job its plan is still
+        held by the events about it, hence the second round.
         """
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        for _ in range(2):
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
+            time.sleep(0.3)
 
 
 def rank_within(

@@ -46,7 +46,7 @@ def _powers_up_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
-def text_slices(texts: pa.Array, max_bytes: int = 1 << 21) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
+def text_slices(texts: pa.Array, max_bytes: int = 1 << 19) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
     """(first row, end row, UTF-8 bytes, offsets) of runs of rows; null is empty.
 
     A run has ``max_bytes`` at most, or is one longer text.

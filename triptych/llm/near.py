@@ -371,6 +371,7 @@ def near_duplicates(rows: DataFrame, like: Likeness, store: Store) -> DataFrame:
         .distinct(),
         "members",
     )
+    store.drop("blocks", "found")
     others = members.filter("rid != hid")
     candidates = others.select(F.greatest("rid", "hid").alias("a"), F.least("rid", "hid").alias("b"))
     pairs = (

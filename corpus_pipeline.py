@@ -8,6 +8,7 @@ All but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,26 @@ from triptych.llm.store import Store
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
+_Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_of_stage_before: list[Store] = []
 
+
+def _stage(function: _Stage) -> _Stage:
+    """Drop the intermediate tables of the stage before: its result is stored by now."""
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _of_stage_before:
+            _of_stage_before.pop().drop()
+        with Store.watched() as opened:
+            result = function(spark, docs, sf_dir)
+        _of_stage_before.extend(opened)
+        return result
+
+    return run_stage
+
+
+@_stage
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts without any letter, and those with nothing in common with any language.
 
@@ -30,27 +50,31 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return judged.filter((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") > 0)).select(*COLUMNS)
 
 
+@_stage
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays."""
     return dedup.distinct_documents(docs.select(*COLUMNS))
 
 
+@_stage
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts linked by a Jaccard similarity of 0.8 on five words one stays."""
     return near.distinct_documents(docs.select(*COLUMNS))
 
 
+@_stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights: rows are dropped or repeated."""
     return mixing.mix(docs.select(*COLUMNS))
 
 
+@_stage
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all texts, with their places in sequences of 4096 tokens."""
     return packing.pack_documents(docs, TOKENIZER)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+STAGES: list[tuple[str, _Stage]] = [
     ("language", identify_language),
     ("exact_dedup", drop_copies),
     ("near_dedup", drop_near_copies),

@@ -449,6 +449,7 @@ def distinct_documents(docs: DataFrame, like: Likeness = Likeness()) -> DataFram
     store = Store(docs.sparkSession)
     numbered = store.save(_numbered(docs), "rows")
     grouped = store.save(near_duplicates(numbered, like, store), "grouped")
+    store.drop("sets", "described", "members", "shared", "known", "open1", "open2")
     store.release()
     in_group = grouped.filter("root is not null")
     first = F.min(F.struct(F.col("_id").isNull().alias("late"), "_id", "_row"))

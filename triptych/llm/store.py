@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import gc
 import time
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,9 +20,24 @@ class Store:
     costs its running tasks, and what was assigned to a row (a row number) stays.
     """
 
+    _watchers: list[list[Store]] = []
+
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         self.base = scratch_dir(spark)
+        for opened in self._watchers:
+            opened.append(self)
+
+    @classmethod
+    @contextmanager
+    def watched(cls) -> Iterator[list[Store]]:
+        """Collects the stores opened meanwhile, for a caller that drops them later."""
+        opened: list[Store] = []
+        cls._watchers.append(opened)
+        try:
+            yield opened
+        finally:
+            cls._watchers.remove(opened)
 
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
@@ -32,10 +48,10 @@ class Store:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
-        """Remove tables of this run that no later step reads."""
+        """Remove tables of this run that no later step reads; without names all of them."""
         jvm = self.spark.sparkContext._jvm
-        for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        for place in [self.path(name) for name in names] or [self.base]:
+            path = jvm.org.apache.hadoop.fs.Path(place)
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
     def release(self) -> None:

@@ -22,7 +22,8 @@ from triptych.llm.components import components
 from triptych.llm.store import Store
 from triptych.llm.words import mix, text_slices, word_hashes
 
-_SKETCH_WORDS = 4
+_SKETCH_WORDS = 16
+_MOST_NEEDED = 4
 _KEYS_TOGETHER = 2_000_000
 
 
@@ -41,16 +42,22 @@ class Likeness:
 
     @cached_property
     def classes(self) -> np.ndarray:
-        """First size of every size class, up to any possible size."""
+        """First size of every size class, up to any possible size.
+
+        The lower the likeness, the narrower the classes: a band should hold a few
+        shingles of the smallest sets in its class too.
+        """
+        growth = (self.denominator + self.numerator) / (8 * max(self.denominator - self.numerator, 1))
+        growth = min(max(growth, 1.1), 1.43)
         sizes = [1]
         while sizes[-1] < 1 << 40:
-            sizes.append(max(sizes[-1] + 1, sizes[-1] * 10 // 7))
+            sizes.append(max(sizes[-1] + 1, int(sizes[-1] * growth)))
         return np.array(sizes)
 
-    def bands(self, scheme: int) -> int:
-        """Bands for pairs whose smaller set is in class ``scheme``."""
+    def most_apart(self, scheme: int) -> int:
+        """``apart`` of the largest pair whose smaller set is in class ``scheme``."""
         small = int(self.classes[scheme + 1]) - 1
-        return int(self.apart(small + small * self.denominator // self.numerator)) + 1
+        return int(self.apart(small + small * self.denominator // self.numerator))
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,13 +97,22 @@ def band_keys(values: np.ndarray, starts: np.ndarray, like: Likeness) -> tuple[n
 
     A text takes part in the scheme of its own size class, and in those of smaller
     classes that can hold a like set.
+
+    There are somewhat more bands than like sets have differences, and of two like
+    sets more bands are equal than that surplus.  A text leaves out the bands of
+    fewest shingles, which unrelated texts share by chance, as long as more bands
+    remain than there can be differences: an equal band that is large enough for
+    the text then exists, and it is as large in the other.  Each text takes the
+    largest such limit; where limits differ, the one with the lower limit has that
+    band too.
     """
     sizes = np.diff(starts)
     of_size = np.searchsorted(like.classes, sizes, "right") - 1
     texts, keys = [], []
     scheme, members = of_size, np.flatnonzero(sizes > 0)
     while len(members):
-        nb = np.array([like.bands(s) for s in range(int(scheme[members].max()) + 1)])[scheme[members]]
+        apart = np.array([like.most_apart(s) for s in range(int(scheme[members].max()) + 1)])[scheme[members]]
+        nb = apart + 1 + apart // 6
         at = np.concatenate([[0], np.cumsum(nb)])
         counts = sizes[members]
         own = np.repeat(np.arange(len(members)), counts)
@@ -107,11 +123,16 @@ def band_keys(values: np.ndarray, starts: np.ndarray, like: Likeness) -> tuple[n
         heads = np.flatnonzero(np.diff(place, prepend=-1))
         parity = np.zeros(at[-1], np.uint64)
         parity[place[heads]] = np.bitwise_xor.reduceat(mine, heads)
+        held = np.bincount(place, minlength=at[-1])
+        limit = np.zeros(len(members), np.int64)
+        for least in range(1, _MOST_NEEDED + 1):
+            limit[np.add.reduceat((held >= least).astype(np.int64), at[:-1]) > apart] = least
+        taken = held >= np.repeat(limit, nb)
         text = np.repeat(members, nb)
         index = (np.arange(at[-1]) - np.repeat(at[:-1], nb)).astype(np.uint64)
-        name = mix((scheme[text].astype(np.uint64) << np.uint64(40)) + index)
-        texts.append(text)
-        keys.append(mix(parity ^ name))
+        name = mix((np.repeat(scheme[members], nb).astype(np.uint64) << np.uint64(40)) + index)
+        texts.append(text[taken])
+        keys.append(mix(parity ^ name)[taken])
         # The next smaller class takes part while it has a size that can be like.
         scheme = scheme - 1
         smallest = -(-sizes[members] * like.numerator // like.denominator)

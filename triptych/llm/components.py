@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from triptych.llm.store import Store
 
+_ROWS_PER_FILE = 200_000
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the smallest node around it."""
@@ -43,4 +45,7 @@ def components(links: DataFrame, store: Store, name: str) -> DataFrame:
         if state == seen or not state[0]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         seen, step = state, step + 1
-        edges = store.save(_small_star(_large_star(edges)), f"{name}{step}")
+        # Tables shrink as chains close: few files for few rows.
+        files = 1 + state[0] // _ROWS_PER_FILE
+        edges = store.save(_small_star(_large_star(edges)).coalesce(files), f"{name}{step}")
+        store.drop(f"{name}{step - 1}")

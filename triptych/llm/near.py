@@ -22,7 +22,7 @@ from triptych.llm.components import components
 from triptych.llm.store import Store
 from triptych.llm.words import mix, text_slices, word_hashes
 
-_SKETCH_WORDS = 16
+_SKETCH_WORDS = 8
 _MOST_NEEDED = 4
 _KEYS_TOGETHER = 2_000_000
 
@@ -323,7 +323,7 @@ def _may_be_alike(like: Likeness, left: str, right: str) -> Column:
     return near & (distance <= like.apart(n + m))
 
 
-def _open_rows(shared: DataFrame, root: DataFrame, known: DataFrame) -> DataFrame:
+def _open_rows(shared: DataFrame, root: DataFrame) -> DataFrame:
     """Rows of the bands that touch several components: with root, and the band's largest as main."""
     placed = shared.join(root.withColumnRenamed("node", "rid"), "rid", "left").select(
         "key", "rid", F.coalesce("root", "rid").alias("root")
@@ -335,14 +335,15 @@ def _open_rows(shared: DataFrame, root: DataFrame, known: DataFrame) -> DataFram
         .agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
         .filter("roots > 1")
     )
-    return placed.join(mixed, "key").join(known, "rid")
+    return placed.join(mixed.select("key", "main"), "key")
 
 
-def _as_pairs(joined: DataFrame) -> DataFrame:
-    """Distinct (a, b) of a join of rows x and y."""
-    return joined.select(
-        F.greatest("x.rid", "y.rid").alias("a"), F.least("x.rid", "y.rid").alias("b")
-    ).distinct()
+def _compatible(pairs: DataFrame, sketches: DataFrame, like: Likeness) -> DataFrame:
+    """The pairs (a, b) that size and sketch do not rule out."""
+    both = pairs.join(sketches.withColumnRenamed("rid", "a").alias("x"), "a").join(
+        sketches.withColumnRenamed("rid", "b").alias("y"), "b"
+    )
+    return both.filter(_may_be_alike(like, "x", "y")).select("a", "b")
 
 
 def near_duplicates(rows: DataFrame, like: Likeness, store: Store) -> DataFrame:
@@ -395,12 +396,7 @@ def near_duplicates(rows: DataFrame, like: Likeness, store: Store) -> DataFrame:
     store.drop("blocks", "found")
     others = members.filter("rid != hid")
     candidates = others.select(F.greatest("rid", "hid").alias("a"), F.least("rid", "hid").alias("b"))
-    pairs = (
-        candidates.distinct()
-        .join(sketches.withColumnRenamed("rid", "a").alias("x"), "a")
-        .join(sketches.withColumnRenamed("rid", "b").alias("y"), "b")
-    )
-    tried = store.save(pairs.filter(_may_be_alike(like, "x", "y")).select("a", "b"), "tried")
+    tried = store.save(_compatible(candidates.distinct(), sketches, like), "tried")
     wanted = others.select(F.explode(F.array("rid", "hid")).alias("_row")).distinct()
     sets = store.save(_sets(rows.select("_row", "text").join(wanted, "_row"), like), "sets")
     store.release()
@@ -411,22 +407,23 @@ def near_duplicates(rows: DataFrame, like: Likeness, store: Store) -> DataFrame:
         members.select("key", F.explode(F.array("rid", "hid")).alias("rid")).distinct(), "shared"
     )
     degrees = shared.join(shared.groupBy("key").agg(F.count(F.lit(1)).alias("rows")), "key")
-    known = store.save(
-        sketches.join(degrees.groupBy("rid").agg(F.sum("rows").alias("degree")), "rid"), "known"
-    )
-    open_rows = store.save(_open_rows(shared, root, known), "open1")
-    centre = F.max_by(F.struct("rid", "root", "n", *_SKETCH), F.struct("degree", "rid")).alias("y")
-    pairs = (
-        open_rows.alias("x")
-        .join(open_rows.groupBy("key").agg(centre).alias("centres"), "key")
-        .filter((F.col("x.root") != F.col("y.root")) & _may_be_alike(like, "x", "y"))
+    degree = store.save(degrees.groupBy("rid").agg(F.sum("rows").alias("degree")), "degree")
+    open_rows = store.save(_open_rows(shared, root).join(degree, "rid"), "open1")
+    centre = F.max_by(F.struct("rid", "root"), F.struct("degree", "rid")).alias("c")
+    pairs = open_rows.join(open_rows.groupBy("key").agg(centre), "key").filter("root != c.root")
+    pairs = pairs.select(
+        F.greatest("rid", "c.rid").alias("a"), F.least("rid", "c.rid").alias("b")
+    ).distinct()
+    central = store.save(
+        _compatible(pairs, sketches, like).join(tried, ["a", "b"], "left_anti"), "tried2"
     )
-    central = store.save(_as_pairs(pairs).join(tried, ["a", "b"], "left_anti"), "tried2")
+    store.release()
     links = links.unionAll(store.save(_verified(central, sets, like), "links2"))
     root = components(links, store, "second")
     store.release()
 
-    open_rows = store.save(_open_rows(shared, root, known), "open2")
+    store.drop("open1", "degree")
+    open_rows = store.save(_open_rows(shared, root).join(sketches, "rid"), "open2")
     pairs = open_rows.filter("root != main").alias("x").join(
         open_rows.alias("y"),
         (F.col("x.key") == F.col("y.key"))
@@ -435,7 +432,11 @@ def near_duplicates(rows: DataFrame, like: Likeness, store: Store) -> DataFrame:
         & _may_be_alike(like, "x", "y"),
     )
     tried = tried.unionAll(central)
-    rest = store.save(_as_pairs(pairs).join(tried, ["a", "b"], "left_anti"), "tried3")
+    rest = pairs.select(
+        F.greatest("x.rid", "y.rid").alias("a"), F.least("x.rid", "y.rid").alias("b")
+    ).distinct()
+    rest = store.save(rest.join(tried, ["a", "b"], "left_anti"), "tried3")
+    store.release()
     links = links.unionAll(store.save(_verified(rest, sets, like), "links3"))
     root = components(links, store, "third")
     store.release()
@@ -470,7 +471,7 @@ def distinct_documents(docs: DataFrame, like: Likeness = Likeness()) -> DataFram
     store = Store(docs.sparkSession)
     numbered = store.save(_numbered(docs), "rows")
     grouped = store.save(near_duplicates(numbered, like, store), "grouped")
-    store.drop("sets", "described", "members", "shared", "known", "open1", "open2")
+    store.drop("sets", "described", "members", "shared", "open2")
     store.release()
     in_group = grouped.filter("root is not null")
     first = F.min(F.struct(F.col("_id").isNull().alias("late"), "_id", "_row"))

@@ -59,9 +59,9 @@ class Store:
 
         Spark drops them when the driver's JVM collects its garbage; with a large
         heap that can be long after the job.  Just after a job its plan is still
-        held by the events about it, hence the second round.
+        held by the events about it, hence more than one round.
         """
-        for _ in range(2):
+        for _ in range(3):
             gc.collect()
             self.spark.sparkContext._jvm.System.gc()
             time.sleep(0.3)

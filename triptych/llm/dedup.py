@@ -24,6 +24,10 @@ _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _COMPARED_TOGETHER = 500
 
 
+def _text() -> Column:
+    return F.coalesce(F.col("_doc.text"), F.lit(""))
+
+
 def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text.cast("binary"), 256))
 
@@ -90,7 +94,7 @@ def deduplicate(
 ) -> tuple[DataFrame, DataFrame]:
     """(the stored rows, the groups of rows whose text is not unique).
 
-    The first has all columns of ``docs`` and ``_row`` (a number of its own),
+    The first has the row itself as ``_doc``, ``_row`` (a number of its own),
     ``_id`` and ``_digest``.  The second has one row per group of at least two
     equal texts: ``_digest``, ``_text`` (null, or the text where different texts
     share the digest), ``keep_id``, ``keep_row`` and ``group_size``.
@@ -100,17 +104,16 @@ def deduplicate(
     the one with the largest row number.
     """
     store = Store(docs.sparkSession)
-    text = F.coalesce(F.col("text"), F.lit(""))
     content = store.save(
-        docs.withColumns(
-            {
-                "_row": F.monotonically_increasing_id(),
-                "_id": F.col("doc_id").cast("bigint"),
-                "_digest": digest(text),
-            }
+        docs.select(
+            F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_doc"),
+            F.monotonically_increasing_id().alias("_row"),
+            F.col("doc_id").cast("bigint").alias("_id"),
+            digest(F.coalesce(F.col("text"), F.lit(""))).alias("_digest"),
         ),
         "content",
     )
+    text = _text()
     if content.isEmpty():  # a stream over no rows writes no state
         nothing = content.limit(0).select("_digest", text.alias("_text"), F.col("_id").alias("keep_id"))
         return content, nothing.withColumns({"keep_row": F.lit(0), "group_size": F.lit(0)})
@@ -164,7 +167,7 @@ def _with_groups(content: DataFrame, groups: DataFrame, columns: list[str]) -> D
     """Join a content row to its group, if it has one."""
     renamed = groups.withColumnsRenamed({"_digest": "_group_digest", "_text": "_group_text"})
     match = (F.col("_digest") == F.col("_group_digest")) & (
-        F.col("_group_text").isNull() | (F.col("_group_text") == F.coalesce(F.col("text"), F.lit("")))
+        F.col("_group_text").isNull() | (F.col("_group_text") == F.col("_text"))
     )
     return content.select(*columns).join(renamed, match, "left")
 
@@ -177,12 +180,11 @@ def dedup_report(docs: DataFrame, **options) -> DataFrame:
     result; other columns of ``docs`` are ignored.
     """
     content, groups = deduplicate(docs.select("doc_id", "text"), **options)
-    text = F.coalesce(F.col("text"), F.lit(""))
-    hashed = content.withColumn("_sha", F.sha2(text.cast("binary"), 256))
+    hashed = content.withColumns({"_sha": F.sha2(_text().cast("binary"), 256), "_text": _text()})
     if options.get("digest", sha256) is sha256 and groups.filter("_text is not null").isEmpty():
         # The stored digests are the result, and no text is needed to tell groups apart.
-        hashed = content.withColumns({"_sha": F.lower(F.hex("_digest")), "text": F.lit(None).cast("string")})
-    joined = _with_groups(hashed, groups, ["_row", "_id", "_digest", "text", "_sha"])
+        hashed = content.withColumns({"_sha": F.lower(F.hex("_digest")), "_text": F.lit(None).cast("string")})
+    joined = _with_groups(hashed, groups, ["_row", "_id", "_digest", "_text", "_sha"])
     alone = F.col("keep_row").isNull()
     return joined.select(
         F.col("_id").alias("doc_id"),
@@ -195,13 +197,13 @@ def dedup_report(docs: DataFrame, **options) -> DataFrame:
 
 def distinct_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each text, all columns kept."""
-    names = docs.columns
     content, groups = deduplicate(docs, **options)
-    dropped = _with_groups(
-        content, groups, ["_row", "_digest", "text"]
-    ).filter("_row != keep_row").select("_row")
-    kept = content.join(dropped, "_row", "left_anti")
-    return kept.select(*[F.col(f"`{name}`") for name in names])
+    # Without a collision the groups need no text, and the optimizer leaves it out.
+    collided = not groups.filter("_text is not null").isEmpty()
+    text = _text() if collided else F.lit(None).cast("string")
+    rows = content.withColumn("_text", text)
+    dropped = _with_groups(rows, groups, ["_row", "_digest", "_text"]).filter("_row != keep_row")
+    return content.join(dropped.select("_row"), "_row", "left_anti").select("_doc.*")
 
 
 DEDUP_SQL = """

@@ -216,18 +216,16 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every row of ``docs``, with all its columns, as often as it is taken."""
-    names = docs.columns
     store = Store(docs.sparkSession)
-    numbered = store.save(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    rows = store.save(
-        numbered.select(
-            "_row",
-            F.col("doc_id").cast("bigint").alias("doc_id"),
-            "source",
-            word_count(F.col("text")).alias("size"),
-        ),
-        "rows",
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_doc")
+    numbered = store.save(docs.select(whole, F.monotonically_increasing_id().alias("_row")), "numbered")
+    rows = numbered.select(
+        "_row",
+        F.col("_doc.doc_id").cast("bigint").alias("doc_id"),
+        F.col("_doc.source").alias("source"),
+        word_count(F.col("_doc.text")).alias("size"),
     )
-    counted = copies(rows, **options).filter("copies > 0").select("_row", "copies")
-    times = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    return numbered.join(counted, "_row").withColumn("_copy", times).select(*[F.col(f"`{n}`") for n in names])
+    counted = copies(store.save(rows, "rows"), **options).filter("copies > 0")
+    times = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
+    taken = numbered.join(counted.select("_row", "copies"), "_row").withColumn("_copy", times)
+    return taken.select("_doc.*")

@@ -454,7 +454,8 @@ def near_report(docs: DataFrame, like: Likeness) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``; see ``near_duplicates``."""
     store = Store(docs.sparkSession)
     numbered = store.save(_numbered(docs.select("doc_id", "text")), "rows")
-    return near_duplicates(numbered, like, store).select(
+    texts = numbered.select("_row", "_id", F.col("_doc.text").alias("text"))
+    return near_duplicates(texts, like, store).select(
         F.col("_id").alias("doc_id"),
         F.col("n").alias("n_shingles"),
         F.col("component").alias("component_id"),
@@ -467,21 +468,22 @@ def distinct_documents(docs: DataFrame, like: Likeness = Likeness()) -> DataFram
     The row with the smallest doc_id stays (of repeated ids the one with the
     smallest row number, a null id last); rows without words all stay.
     """
-    names = docs.columns
     store = Store(docs.sparkSession)
     numbered = store.save(_numbered(docs), "rows")
-    grouped = store.save(near_duplicates(numbered, like, store), "grouped")
+    texts = numbered.select("_row", "_id", F.col("_doc.text").alias("text"))
+    grouped = store.save(near_duplicates(texts, like, store), "grouped")
     store.drop("sets", "described", "members", "shared", "open2")
     store.release()
     in_group = grouped.filter("root is not null")
     first = F.min(F.struct(F.col("_id").isNull().alias("late"), "_id", "_row"))
     stays = in_group.groupBy("root").agg(first.alias("s")).select("root", F.col("s._row").alias("_stays"))
     dropped = in_group.join(stays, "root").filter("_row != _stays").select("_row")
-    kept = numbered.join(dropped, "_row", "left_anti")
-    return kept.select(*[F.col(f"`{name}`") for name in names])
+    return numbered.join(dropped, "_row", "left_anti").select("_doc.*")
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    return docs.withColumns(
-        {"_row": F.monotonically_increasing_id(), "_id": F.col("doc_id").cast("bigint")}
+    return docs.select(
+        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_doc"),
+        F.monotonically_increasing_id().alias("_row"),
+        F.col("doc_id").cast("bigint").alias("_id"),
     )

@@ -10,6 +10,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.fixture import patients
@@ -110,17 +111,11 @@ def silver_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _bronze(spark, sf_dir)
-    typed = silver.typed(rows)
-    standardized = silver.standardized(typed)
-    validated = silver.validated(standardized)
-    stages = {
-        "typed": typed,
-        "standardized": standardized,
-        "validated": validated,
-        "clean": silver.clean(validated),
-    }
-    return table_counts(stages, "stage", "record_count")
+    """Rows after each stage, in one scan: only cleaning drops any."""
+    stats = reports.quality_stats(_validated(spark, sf_dir))
+    stages = {name: "total_records" for name in ("typed", "standardized", "validated")}
+    stages["clean"] = F.coalesce("clean_records", F.lit(0)).cast("bigint")
+    return reports.as_metric_rows(stats, stages, "stage", "record_count")
 
 
 @_query

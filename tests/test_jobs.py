@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
 from checks.fixture import patients
 from triptych import config
 from triptych.operators import quality_stats, table_counts
 from triptych.plans import gold, jobs, silver, views
-from triptych.sources import read_csv, read_table, table_path, write_csv
+from triptych.sources import read_csv, read_table, table_path, write_csv, write_table
 from tests.conftest import SPARK_ERRORS
 
 
@@ -76,29 +78,52 @@ def test_export_holds_the_fact_table_only_by_default(spark, full):
     assert rows(read_csv(spark, path, fact.schema)) == rows(fact)
 
 
-def test_export_of_other_tables_is_sorted(spark, full, tmp_path):
+def test_single_file_export_is_sorted(spark, full, tmp_path):
     tables = (config.SEVERITY_TABLE, config.DEMOGRAPHICS_TABLE)
-    for table, path in zip(tables, jobs.export_csv(spark, full.base, str(tmp_path), tables)):
+    paths = jobs.export_csv(spark, full.base, str(tmp_path), tables, single_file=True)
+    for table, path in zip(tables, paths):
         stored = read_table(spark, full.base, table)
         exported = [tuple(r) for r in read_csv(spark, path, stored.schema).collect()]
         assert exported == [tuple(r) for r in gold.in_order(stored, table).collect()]
 
 
-def test_export_is_split_above_the_row_limit(spark, full, tmp_path, monkeypatch):
-    from triptych.sources import csv
-
-    single = []
-    real = csv.write_csv
-
-    def spy(df, path, *, single_file=False):
-        single.append(single_file)
-        real(df, path, single_file=single_file)
-
-    monkeypatch.setattr(jobs, "write_csv", spy)
-    rows_stored = full.counts[config.FACT_TABLE]
-    for limit in (rows_stored - 1, rows_stored):
-        jobs.export_csv(spark, full.base, str(tmp_path), single_file_rows=limit)
-    assert single == [False, True]
+def test_export_layout_does_not_depend_on_the_rows(spark, tmp_path):
+    for n in (8, 20_000):
+        base = f"{tmp_path}/{n}"
+        rows_ = spark.range(n).repartition(4).selectExpr("CAST(id AS INT) AS patient_id")
+        write_table(rows_, base, config.FACT_TABLE)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1g")  # one file a task
+        (path,) = jobs.export_csv(spark, base)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert len(list(Path(path).glob("part-*.csv"))) == 4
+
+
+@pytest.mark.parametrize("layer", ["silver", "gold"])
+def test_a_failed_run_keeps_the_earlier_tables(spark, source, tmp_path, monkeypatch, layer):
+    base = str(tmp_path)
+    jobs.run_all(spark, source, base, export=False)
+    before = {t: rows(df) for t, df in jobs.stored_tables(spark, base).items()}
+    if layer == "silver":
+        columns = [("sex", "patient_id", "int"), *config.SILVER_COLUMNS[1:]]
+        with pytest.raises(SPARK_ERRORS):
+            jobs.run_silver(spark, base, columns=columns)
+    else:
+        failing = {**gold.BUILDERS, config.SEVERITY_TABLE: lambda df: df.selectExpr("CAST(sex AS INT) AS x")}
+        monkeypatch.setattr(gold, "BUILDERS", failing)
+        with pytest.raises(SPARK_ERRORS):
+            jobs.run_gold(spark, base)
+    spark.catalog.clearCache()
+    assert {t: rows(df) for t, df in jobs.stored_tables(spark, base).items()} == before
+
+
+def test_separator_and_quoted_line_breaks(spark, tmp_path):
+    path = tmp_path / "odd.csv"
+    names = ";".join(config.SOURCE_SCHEMA.names)
+    path.write_text(f'{names}\n1; 63;"m\nx";;;120;233.0;1;;150;0;;;;;0\n')
+    base = str(tmp_path / "base")
+    jobs.run_bronze(spark, str(path), base, sep=";", multiline=True)
+    (row,) = read_table(spark, base, config.BRONZE_TABLE).collect()
+    assert (row.age, row.sex, row.chol, row.fbs, row.exang) == (63, "m\nx", 233, True, False)
 
 
 def test_gold_can_be_run_again_on_stored_silver(spark, full):

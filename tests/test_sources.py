@@ -102,6 +102,21 @@ def test_inferred_types(spark, csv_file):
     assert df.dtypes == [("a", "int"), ("b", "double"), ("c", "boolean"), ("d", "string")]
 
 
+def test_inferred_types_need_equal_headers(spark, csv_file):
+    paths = [csv_file("x,y\n1,2\n", "1.csv"), csv_file("y,x\n30,3\n", "2.csv")]
+    with pytest.raises(SPARK_ERRORS):
+        read_csv(spark, paths, infer_schema=True).collect()
+
+
+def test_submitted_tuning_stays(spark):
+    from triptych.session import get_session
+
+    session = get_session(**{"spark.sql.files.maxPartitionBytes": "64m"})
+    assert session.conf.get("spark.sql.files.maxPartitionBytes") == "64m"
+    assert session.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert session.conf.get("spark.sql.ansi.enabled") == "true"
+
+
 def test_other_separator(spark, csv_file):
     path = csv_file("id;name;score;flag\n1;a,b;2;true\n")
     assert rows(read_csv(spark, path, SCHEMA, sep=";")) == [(1, "a,b", 2.0, True)]

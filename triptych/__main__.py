@@ -18,6 +18,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--no-export", action="store_true", help="skip the CSV export")
     parser.add_argument("--infer-schema", action="store_true", help="take types from the data")
     parser.add_argument("--lenient", action="store_true", help="read bad values as null")
+    parser.add_argument("--sep", default=",", help="separator of the CSV columns")
+    parser.add_argument("--multiline", action="store_true", help="allow line breaks inside quotes")
     parser.add_argument("--source-file", help="name stored with each row instead of its file path")
     options = parser.parse_args(arguments)
 
@@ -31,6 +33,8 @@ def main(arguments: list[str] | None = None) -> None:
         source_file=options.source_file,
         infer_schema=options.infer_schema,
         on_error="null" if options.lenient else "raise",
+        sep=options.sep,
+        multiline=options.multiline,
     )
 
     def stored(table: str):

@@ -19,7 +19,15 @@ from pyspark.sql import types as T
 from triptych import config
 from triptych.config import RangeRule
 from triptych.plans import bronze, gold, silver, views
-from triptych.sources import read_csv, read_table, table_path, write_csv, write_table
+from triptych.sources import (
+    publish_tables,
+    read_csv,
+    read_table,
+    stage_table,
+    table_path,
+    write_csv,
+    write_table,
+)
 
 
 @dataclass
@@ -41,9 +49,9 @@ class JobResult:
         return spark.createDataFrame(rows, "metric string, value bigint")
 
 
-def _write_counted(df: DataFrame, base: str, table: str) -> int:
+def _stage_counted(df: DataFrame, base: str, table: str) -> int:
     seen = Observation()
-    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), base, table)
+    stage_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), base, table)
     return seen.get["rows"]
 
 
@@ -56,10 +64,21 @@ def run_bronze(
     source_file: str | None = None,
     infer_schema: bool = False,
     on_error: str = "raise",
+    sep: str = ",",
+    multiline: bool = False,
 ) -> JobResult:
     """CSV to the bronze table."""
-    rows = read_csv(spark, source, schema, infer_schema=infer_schema, on_error=on_error)
-    count = _write_counted(bronze.with_audit(rows, source_file), base, config.BRONZE_TABLE)
+    rows = read_csv(
+        spark,
+        source,
+        schema,
+        sep=sep,
+        multiline=multiline,
+        infer_schema=infer_schema,
+        on_error=on_error,
+    )
+    count = _stage_counted(bronze.with_audit(rows, source_file), base, config.BRONZE_TABLE)
+    publish_tables(spark, base, [config.BRONZE_TABLE])
     return JobResult(base, {config.BRONZE_TABLE: count})
 
 
@@ -94,14 +113,16 @@ def run_gold(spark: SparkSession, base: str, *, parallel: int = len(gold.BUILDER
     clean = read_table(spark, base, config.SILVER_TABLE)
 
     def build(table: str) -> int:
-        return _write_counted(gold.BUILDERS[table](clean), base, table)
+        return _stage_counted(gold.BUILDERS[table](clean), base, table)
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
         jobs = {
             table: pool.submit(inheritable_thread_target(spark)(build), table)
             for table in gold.BUILDERS
         }
-        return JobResult(base, {table: job.result() for table, job in jobs.items()})
+        counts = {table: job.result() for table, job in jobs.items()}
+    publish_tables(spark, base, list(counts))
+    return JobResult(base, counts)
 
 
 def export_csv(
@@ -109,23 +130,20 @@ def export_csv(
     base: str,
     target: str | None = None,
     tables: Sequence[str] = (config.FACT_TABLE,),
-    single_file_rows: int = 100_000,
+    single_file: bool = False,
 ) -> list[str]:
     """Stored tables as CSV folders for BI tools; by default the fact table.
 
-    A table of at most ``single_file_rows`` rows becomes one file, which means one
-    task; a larger one stays split.  The rows are counted from the file footers.
+    The layout is the same for few and many rows: split files, or with
+    ``single_file`` one sorted file, which means one task.
     """
     target = (target or f"{base.rstrip('/')}/Export").rstrip("/")
     paths = []
     for table in tables:
         stored = read_table(spark, base, table)
         paths.append(f"{target}/{table}.csv")
-        write_csv(
-            gold.in_order(stored, table),
-            paths[-1],
-            single_file=stored.count() <= single_file_rows,
-        )
+        rows = gold.in_order(stored, table) if single_file else stored
+        write_csv(rows, paths[-1], single_file=single_file)
     return paths
 
 
@@ -142,6 +160,8 @@ def run_all(
     source_file: str | None = None,
     infer_schema: bool = False,
     on_error: str = "raise",
+    sep: str = ",",
+    multiline: bool = False,
 ) -> JobResult:
     """Every layer up to ``layer``; with ``"full"`` also the CSV export."""
     if layer not in LAYERS:
@@ -153,6 +173,8 @@ def run_all(
         source_file=source_file,
         infer_schema=infer_schema,
         on_error=on_error,
+        sep=sep,
+        multiline=multiline,
     )
     if layer == "bronze":
         return result

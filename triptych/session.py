@@ -8,9 +8,19 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+DEFAULTS = {
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.parquet.compression.codec": "snappy",
+}
+
+
 def get_session(app_name: str = "triptych", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs rely on; ``conf`` overrides them.
 
+    Results depend on the time zone and ANSI mode, which are always set.  The other
+    values are defaults: what spark-submit was given stays.
+
     Cluster sizing (executors, memory, shuffle partitions) is left to
     spark-submit.  Inputs are split at 512 MB because every job here either is
     map-only or shrinks to one row per group before its first shuffle: fewer,
@@ -24,20 +34,19 @@ def get_session(app_name: str = "triptych", master: str | None = None, **conf: s
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = {
+    forced = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.ansi.enabled": "true",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.files.maxPartitionBytes": "512m",
-        "spark.sql.codegen.hugeMethodLimit": "8000",
-        "spark.sql.parquet.compression.codec": "snappy",
-        "spark.ui.showConsoleProgress": "false",
         **conf,
     }
-    for key, value in settings.items():
+    for key, value in forced.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    submitted = spark.sparkContext.getConf()
+    for key, value in DEFAULTS.items():
+        if not submitted.contains(key) and key not in conf:
+            spark.conf.set(key, value)
+    return spark
 
 
 def scratch_dir(spark: SparkSession) -> str:

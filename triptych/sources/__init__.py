@@ -1,6 +1,14 @@
 """Reading and writing: CSV in and out, and one Parquet folder per layer table."""
 
 from triptych.sources.csv import read_csv, write_csv
-from triptych.sources.layers import read_table, table_path, write_table
+from triptych.sources.layers import publish_tables, read_table, stage_table, table_path, write_table
 
-__all__ = ["read_csv", "read_table", "table_path", "write_csv", "write_table"]
+__all__ = [
+    "publish_tables",
+    "read_csv",
+    "read_table",
+    "stage_table",
+    "table_path",
+    "write_csv",
+    "write_table",
+]

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from triptych.config import SOURCE_SCHEMA
+from triptych.functions import to_type
 
 # Fixed values.  Quotes inside a value are doubled, blanks at its ends belong to
 # it, and timestamps keep their microseconds and offset.
@@ -35,7 +37,11 @@ def read_csv(
     Columns are matched to ``schema`` by name, whatever their order and letter case
     in the file; columns the schema does not know are kept as text.  Only the header is read
     to find the order, so the data is scanned once.  ``infer_schema`` takes all
-    types from the data instead, at the price of a second scan.
+    types from the data instead, at the price of a second scan.  Either way the
+    headers of several files must agree.
+
+    Numbers and booleans are scanned as text and then cast: ``233.0`` is a whole
+    number, blanks around it do not matter, and ``1`` and ``0`` are booleans.
 
     ``on_error="null"`` reads an unreadable value as null instead of failing.
     ``multiline`` allows line breaks inside quotes; files then cannot be split,
@@ -49,19 +55,33 @@ def read_csv(
         .option("multiLine", multiline)
         .option("mode", "FAILFAST" if on_error == "raise" else "PERMISSIVE")
     )
+    # enforceSchema=False makes every file's header agree with the first one's.
     if infer_schema:
-        return reader.option("inferSchema", True).csv(path)
+        return reader.option("inferSchema", True).option("enforceSchema", False).csv(path)
 
     header = reader.csv(path).columns
     known = {field.name.lower(): field.dataType for field in schema.fields}
     missing = known.keys() - {name.lower() for name in header}
     if missing:
         raise ValueError(f"columns missing from {path}: {', '.join(sorted(missing))}")
-    in_file_order = T.StructType(
-        [T.StructField(name, known.get(name.lower(), T.StringType())) for name in header]
+    text = T.StringType()
+    types = {name: known.get(name.lower(), text) for name in header}
+    scanned = T.StructType(
+        [T.StructField(name, text if _is_cast(kind) else kind) for name, kind in types.items()]
     )
-    # enforceSchema=False makes every file's header agree with the first one's.
-    return reader.schema(in_file_order).option("enforceSchema", False).csv(path)
+    rows = reader.schema(scanned).option("enforceSchema", False).csv(path)
+    return rows.select(
+        *[
+            to_type(F.col(f"`{name}`"), text, kind.simpleString(), on_error).alias(name)
+            if _is_cast(kind)
+            else F.col(f"`{name}`")
+            for name, kind in types.items()
+        ]
+    )
+
+
+def _is_cast(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.NumericType, T.BooleanType))
 
 
 def write_csv(

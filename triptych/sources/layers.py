@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from triptych.config import LAYER_PATHS
@@ -15,8 +17,29 @@ def read_table(spark: SparkSession, base: str, table: str) -> DataFrame:
     return spark.read.parquet(table_path(base, table))
 
 
-def write_table(df: DataFrame, base: str, table: str) -> str:
-    """Write the table from the executors, replacing an earlier run's; returns its path."""
-    path = table_path(base, table)
+def stage_table(df: DataFrame, base: str, table: str) -> None:
+    """Write the table beside its place; an earlier run's stays as it is."""
+    path = f"{table_path(base, table)}.staged"
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+
+
+def publish_tables(spark: SparkSession, base: str, tables: Sequence[str]) -> list[str]:
+    """Put staged tables in place of an earlier run's; returns their paths."""
+    new_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = new_path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    paths = [table_path(base, table) for table in tables]
+    for path in paths:
+        files.delete(new_path(path), True)
+        if not files.rename(new_path(f"{path}.staged"), new_path(path)):
+            raise OSError(f"could not move {path}.staged to its place")
+    return paths
+
+
+def write_table(df: DataFrame, base: str, table: str) -> str:
+    """Write the table from the executors, replacing an earlier run's; returns its path.
+
+    The earlier table goes only after all of the new one is written.
+    """
+    stage_table(df, base, table)
+    (path,) = publish_tables(df.sparkSession, base, [table])
     return path

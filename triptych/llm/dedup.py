@@ -17,8 +17,12 @@ from pyspark.sql import functions as F
 
 from triptych.llm.store import Store
 
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_STREAMING = "spark.sql.streaming.stateStore"
+_STATE_SETTINGS = {
+    f"{_STREAMING}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Every partition has a database; files reserved in advance would outweigh small ones.
+    f"{_STREAMING}.rocksdb.allowFAllocate": "false",
+}
 
 #: Copies compared with one copy of the located text at a time.
 _COMPARED_TOGETHER = 500
@@ -34,15 +38,17 @@ def sha256(text: Column) -> Column:
 
 @contextmanager
 def _state_on_disk(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in _STATE_SETTINGS}
+    for key, value in _STATE_SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def _best(name: str = "best") -> Column:

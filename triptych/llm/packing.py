@@ -24,7 +24,7 @@ from triptych.llm.store import Store, rank_within
 BROADCAST_PLAN_ROWS = 100_000
 
 # White space by Unicode, which the tokenizers' normalizer turns into blanks.
-_TEXT_WORD = re.compile(r"[^\t-\r \x85\xa0  -     　]+")
+_TEXT_WORD = re.compile(r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _CACHED_WORDS = 200_000
 
 

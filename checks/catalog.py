@@ -6,17 +6,16 @@ Each runs over whole tables.  Clock columns differ between runs and are dropped.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import wraps
+from functools import reduce, wraps
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.fixture import patients
 from triptych import config
 from triptych.config import RangeRule
-from triptych.functions import additive_score, breaks_any, bucketize, label_by_part, to_int
+from triptych.functions import additive_score, breaks_any, bucketize, label_by_part, to_int, to_type
 from triptych.operators import measure_metrics, ordered, reports, share_of_total, table_counts
 from triptych.plans import bronze, gold, jobs, silver, views
 from triptych.session import scratch_dir
@@ -60,6 +59,15 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _validated(spark, sf_dir).transform(silver.clean)
 
 
+def _stored(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The tables that the jobs write from the stored bronze rows on."""
+    base = scratch_dir(spark)
+    write_table(_bronze(spark, sf_dir), base, config.BRONZE_TABLE)
+    jobs.run_silver(spark, base)
+    jobs.run_gold(spark, base)
+    return jobs.stored_tables(spark, base)
+
+
 # --- bronze -----------------------------------------------------------------------
 
 
@@ -73,6 +81,11 @@ def bronze_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.stats(_bronze(spark, sf_dir)).drop("Ingestion_Time")
 
 
+@_query
+def bronze_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.bronze_preview(_bronze(spark, sf_dir))
+
+
 # --- silver -----------------------------------------------------------------------
 
 
@@ -177,14 +190,8 @@ def gold_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def record_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = _clean(spark, sf_dir)
-    return table_counts(
-        {
-            config.BRONZE_TABLE: _bronze(spark, sf_dir),
-            config.SILVER_TABLE: clean,
-            **{table: build(clean) for table, build in gold.BUILDERS.items()},
-        }
-    )
+    """Rows of the stored tables, from their file footers."""
+    return table_counts(_stored(spark, sf_dir))
 
 
 @_query
@@ -215,6 +222,74 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, base, config.FACT_TABLE)
 
 
+@_query
+def stored_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir)[config.BRONZE_TABLE]
+
+
+@_query
+def stored_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir)[config.DEMOGRAPHICS_TABLE]
+
+
+@_query
+def stored_risk_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir)[config.RISK_FACTORS_TABLE]
+
+
+@_query
+def stored_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir)[config.SEVERITY_TABLE]
+
+
+@_query
+def stored_clinical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir)[config.CLINICAL_TABLE]
+
+
+@_query
+def audit_clocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the stored clocks are set, hold one value a table, and follow each other."""
+    seen = [
+        table.agg(
+            F.lit(clock).alias("clock"),
+            F.count(F.lit(1)).alias("rows"),
+            F.count(clock).alias("set"),
+            F.min(clock).alias("low"),
+            F.max(clock).alias("high"),
+        )
+        for table in _stored(spark, sf_dir).values()
+        for clock in CLOCKS
+        if clock in table.columns
+    ]
+
+    def of(clock: str, column: str) -> Column:
+        return F.when(F.col("clock") == clock, F.col(column))
+
+    return reduce(DataFrame.unionByName, seen).agg(
+        F.sum("rows").alias("clock_values"),
+        F.bool_and(F.col("rows") == F.col("set")).alias("all_set"),
+        F.bool_and(F.col("low") == F.col("high")).alias("one_value_a_table"),
+        (F.max(of(CLOCKS[0], "high")) <= F.min(of(CLOCKS[1], "low"))).alias("ingested_first"),
+        (F.max(of(CLOCKS[1], "high")) <= F.min(of(CLOCKS[2], "low"))).alias("created_last"),
+    )
+
+
+@_query
+def csv_loose_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers like ``233.0`` and `` 63``, booleans like ``1`` in a CSV file."""
+    path = scratch_dir(spark)
+    loose = _source(spark, sf_dir).withColumns(
+        {
+            "age": F.concat(F.lit(" "), "age"),
+            "chol": F.concat("chol", F.lit(".0")),
+            "fbs": F.col("fbs").cast("int"),
+        }
+    )
+    write_csv(loose, path)
+    return read_csv(spark, path)
+
+
 @_query
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark)
@@ -311,11 +386,21 @@ def orders_price_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table(spark, sf_dir, "orders").select("o_orderpriority", cents),
         ["o_orderpriority"],
         {"cents": "cents"},
-        wide=["cents"],
     )
     return ordered(metrics, "o_orderpriority")
 
 
+@_query
+def lineitem_price_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bigint measure: prices in cents."""
+    cents = to_type(F.col("l_extendedprice") * 100, T.DoubleType(), "bigint").alias("cents")
+    keys = ["l_returnflag", "l_linestatus"]
+    metrics = measure_metrics(
+        _table(spark, sf_dir, "lineitem").select(*keys, cents), keys, {"cents": "cents"}
+    )
+    return ordered(metrics, *keys)
+
+
 @_query
 def customer_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     terms = (

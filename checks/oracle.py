@@ -149,6 +149,7 @@ _LAYER_QUERIES = {
     "bronze_ingest": "SELECT * FROM bronze",
     "bronze_stats": 'SELECT count(*) AS "Total_Records", count(DISTINCT id) AS "Unique_Patients"'
     " FROM bronze",
+    "bronze_preview": "SELECT * FROM bronze ORDER BY id LIMIT 5",
     "silver_typed": "SELECT * FROM typed",
     "silver_typed_text": f"SELECT {_cast_list('CAST({0} AS VARCHAR)')}, source_file FROM bronze",
     "silver_standardized": "SELECT * FROM standardized",
@@ -192,6 +193,22 @@ _LAYER_QUERIES = {
     "view_severity": "SELECT severity_label, patient_count, percentage,"
     " round(avg_age, 1) AS avg_age FROM severity",
     "parquet_roundtrip": "SELECT * FROM fact",
+    "stored_bronze": "SELECT * FROM bronze",
+    "stored_demographics": "SELECT * FROM demographics",
+    "stored_risk_factors": "SELECT * FROM risk",
+    "stored_severity": "SELECT * FROM severity",
+    "stored_clinical": "SELECT * FROM clinical",
+    # Bronze has one clock, silver two, each gold table one.
+    "audit_clocks": "SELECT CAST(sum(n) AS BIGINT) AS clock_values, TRUE AS all_set,"
+    " TRUE AS one_value_a_table, TRUE AS ingested_first, TRUE AS created_last FROM ("
+    + " UNION ALL ".join(
+        f"SELECT count(*) * {clocks} AS n FROM {relation}"
+        for relation, clocks in {
+            "bronze": 1, "clean": 2, "demographics": 1, "risk": 1, "severity": 1, "clinical": 1, "fact": 1
+        }.items()
+    )
+    + ")",
+    "csv_loose_values": "SELECT * FROM source",
     "csv_roundtrip": "SELECT * FROM source",
     "csv_export": "SELECT * FROM fact",
     "full_run": _RECORD_COUNTS,
@@ -233,6 +250,13 @@ _TABLE_QUERIES = {
         SELECT o_orderpriority, count(*) AS n, avg(cents) AS avg_cents, min(cents) AS min_cents,
           max(cents) AS max_cents, median(cents) AS median_cents
         FROM priced GROUP BY o_orderpriority""",
+    "lineitem_price_metrics": """
+        WITH priced AS (
+          SELECT l_returnflag, l_linestatus, CAST(l_extendedprice * 100 AS BIGINT) AS cents
+          FROM lineitem)
+        SELECT l_returnflag, l_linestatus, count(*) AS n, avg(cents) AS avg_cents,
+          min(cents) AS min_cents, max(cents) AS max_cents, median(cents) AS median_cents
+        FROM priced GROUP BY l_returnflag, l_linestatus""",
     "customer_score": """
         SELECT c_custkey,
           (CASE WHEN c_acctbal > 5000 THEN 2 WHEN c_acctbal < 0 THEN 1 ELSE 0 END)

@@ -207,6 +207,6 @@ def test_command_line(spark, source, tmp_path, capfd):
 
     main([source, str(tmp_path), "--no-export", "--source-file", "key.csv"])
     shown = capfd.readouterr().out
-    for text in ("Clean Records in Silver", "70+", "risk_percentage", "gold_powerbi_fact_table"):
+    for text in ("Unique_Patients", "trestbps", "Clean Records in Silver", "70+", "risk_percentage", "gold_powerbi_fact_table"):
         assert text in shown
     assert not (tmp_path / "Export").exists()

@@ -41,12 +41,27 @@ def exchanges(df) -> list[str]:
     return re.findall(r"^Arguments: (hashpartitioning|SinglePartition|rangepartitioning)", plan(df), re.M)
 
 
+WITH_MEDIANS = (
+    "gold_clinical_metrics",
+    "lineitem_metrics",
+    "orders_price_metrics",
+    "lineitem_price_metrics",
+)
+
+
+def final_scans(df) -> int:
+    """Scans that the adaptive plan ran, after reuse of exchanges."""
+    df.collect()
+    tree = plan(df).split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+    return tree.count("Scan parquet")
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_no_python_and_no_product(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))
     for operator in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert operator not in text
-    assert ("Window" in text) == (name == "orders_price_metrics")
+    assert ("Window" in text) == (name in WITH_MEDIANS)
 
 
 @pytest.mark.parametrize(
@@ -56,8 +71,6 @@ def test_no_python_and_no_product(spark, name):
         (config.RISK_FACTORS_TABLE, ["hashpartitioning"]),
         # The single partition holds one partial count per task, for the total.
         (config.SEVERITY_TABLE, ["hashpartitioning", "SinglePartition"]),
-        # By value first, then by group.
-        (config.CLINICAL_TABLE, ["hashpartitioning", "hashpartitioning"]),
         (config.FACT_TABLE, []),
     ],
 )
@@ -65,13 +78,27 @@ def test_shuffles_of_the_gold_tables(clean, table, expected):
     assert exchanges(gold.BUILDERS[table](clean)) == expected
 
 
-def test_wide_medians_rank_buckets_and_share_one_scan(spark):
+def test_medians_rank_buckets_within_groups(spark):
     text = plan(QUERIES["orders_price_metrics"](spark, SF_DIR))
     windows = re.findall(r"^Arguments: \[.*windowspecdefinition\((.*?)\)", text, re.M)
     assert windows and all(spec.startswith("o_orderpriority") for spec in windows)
     assert "partial_count" in text
 
 
+@pytest.mark.parametrize("name", WITH_MEDIANS)
+def test_medians_of_all_measures_share_one_scan(spark, name):
+    """One scan for the plain aggregates, one for all values."""
+    assert final_scans(QUERIES[name](spark, SF_DIR)) == 2
+
+
+def test_counts_of_stages_take_one_scan(spark):
+    assert final_scans(QUERIES["stage_counts"](spark, SF_DIR)) == 1
+
+
+def test_record_counts_read_each_stored_table_once(spark):
+    assert final_scans(QUERIES["record_counts"](spark, SF_DIR)) == len(config.LAYER_PATHS)
+
+
 def test_partial_aggregation_before_every_group_shuffle(clean):
     for table in (config.DEMOGRAPHICS_TABLE, config.RISK_FACTORS_TABLE, config.CLINICAL_TABLE):
         text = plan(gold.BUILDERS[table](clean))

@@ -40,6 +40,8 @@ def main(arguments: list[str] | None = None) -> None:
     def stored(table: str):
         return read_table(spark, options.base, table)
 
+    views.bronze_preview(stored(config.BRONZE_TABLE)).show()
+    result.bronze_stats(spark).show(truncate=False)
     if result.quality:
         result.quality_report(spark).show(truncate=False)
         views.age_group_distribution(stored(config.SILVER_TABLE)).show()

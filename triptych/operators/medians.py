@@ -8,8 +8,10 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_BUCKET_BITS = 16
+_LEVEL_BITS = 16
+_VALUE_BITS = {T.ByteType(): 8, T.ShortType(): 16, T.IntegerType(): 32, T.LongType(): 64}
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -19,51 +21,68 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: st
     return left.join(renamed, matches, how).drop(*[f"_right_{key}" for key in keys])
 
 
-def exact_medians(df: DataFrame, keys: Sequence[str], column: str, name: str) -> DataFrame:
-    """Median of an integer column per group; groups without a value are left out.
+def medians_by_measure(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """keys, ``_measure`` (place in ``columns``) and ``_median`` of tinyint to bigint columns.
+
+    Groups without a value of a measure have no row for it.
 
-    No task ever holds a whole group.  Rows are counted per value, combined on the
-    map side.  The counts of buckets of 65,536 neighbouring values show which
-    bucket holds the middle rows, and only the values of that bucket are ranked.
-    For a 32-bit column a group has at most 65,536 buckets, so both rankings are
-    bounded however many rows or distinct values a group has.
+    No task ever holds a whole group.  Rows are counted per measure and value,
+    combined on the map side, then per bucket of 65,536 neighbouring values, per
+    65,536 neighbouring buckets and so on, until a group has at most 65,536 buckets
+    at the top.  From there down, the bucket with the middle rows is opened level by
+    level.  Every ranking and every join thus sees at most 65,536 rows of a group,
+    however many rows or distinct values it has.
     """
-    counts = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(*keys, F.col(column).alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_bucket", F.shiftright("_value", _BUCKET_BITS))
-    )
+    kinds = [df.schema[column].dataType for column in columns]
+    for column, kind in zip(columns, kinds):
+        if kind not in _VALUE_BITS:
+            raise ValueError(f"median of {column}: {kind.simpleString()} is no whole-number type")
+    levels = -(-max(_VALUE_BITS[kind] for kind in kinds) // _LEVEL_BITS)
+
+    # Unlike unpivot, stack leaves plans that Spark finds equal, so the counts are shared.
+    cells: list[Column] = []
+    for place, column in enumerate(columns):
+        cells += [F.lit(place), F.col(column).cast("bigint")]
+    values = df.select(
+        *keys, F.stack(F.lit(len(columns)), *cells).alias("_measure", "_value")
+    ).filter(F.col("_value").isNotNull())
+    group = [*keys, "_measure"]
+    counts = [values.groupBy(*group, "_value").agg(F.count(F.lit(1)).alias("_rows"))]
+    parent = F.shiftright("_value", _LEVEL_BITS)
+    for _ in range(levels - 1):
+        buckets = counts[-1].groupBy(*group, parent.alias("_value"))
+        counts.append(buckets.agg(F.sum("_rows").alias("_rows")))
 
-    def rows_up_to(order: str, *within: str) -> Column:
-        window = Window.partitionBy(*keys, *within).orderBy(order)
+    def rows_up_to(*within: str) -> Column:
+        window = Window.partitionBy(*group, *within).orderBy("_value")
         return F.sum("_rows").over(window.rowsBetween(Window.unboundedPreceding, 0))
 
-    # Positions count from 0; _lower and _upper are those of the middle rows.
-    middle_buckets = (
-        counts.groupBy(*keys, "_bucket")
-        .agg(F.sum("_rows").alias("_rows"))
-        .withColumns(
-            {
-                "_end": rows_up_to("_bucket"),
-                "_total": F.sum("_rows").over(Window.partitionBy(*keys)),
-            }
-        )
-        .selectExpr(
-            *[f"`{key}`" for key in keys],
-            "_bucket",
-            "_end",
-            "_end - _rows AS _start",
-            "(_total - 1) div 2 AS _lower",
-            "_total div 2 AS _upper",
+    def middle(ranked: DataFrame) -> DataFrame:
+        """Of a level's rows those with the middle rows; _start counts the rows before."""
+        return (
+            ranked.withColumn("_start", F.col("_end") - F.col("_rows"))
+            .filter("_start <= _upper AND _end > _lower")
+            .select(*group, "_value", "_start", "_lower", "_upper")
         )
-        .filter("_start <= _upper AND _end > _lower")
-        .drop("_end")
-    )
-    return (
-        join_on_keys(counts, middle_buckets, [*keys, "_bucket"], "inner")
-        .withColumn("_end", F.col("_start") + rows_up_to("_value", "_bucket"))
-        .filter("_end - _rows <= _upper AND _end > _lower")
-        .groupBy(*keys)
-        .agg(F.avg("_value").alias(name))
+
+    # Positions count from 0; _lower and _upper are those of the middle rows.
+    total = F.sum("_rows").over(Window.partitionBy(*group))
+    chosen = middle(
+        counts.pop()
+        .withColumns({"_end": rows_up_to(), "_total": total})
+        .withColumns({"_lower": F.expr("(_total - 1) div 2"), "_upper": F.expr("_total div 2")})
     )
+    while counts:
+        opened = join_on_keys(
+            counts.pop().withColumn("_parent", parent),
+            chosen.withColumnRenamed("_value", "_parent"),
+            [*group, "_parent"],
+            "inner",
+        )
+        chosen = middle(opened.withColumn("_end", F.col("_start") + rows_up_to("_parent")))
+    return chosen.groupBy(*group).agg(F.avg("_value").alias("_median"))
+
+
+def exact_medians(df: DataFrame, keys: Sequence[str], column: str, name: str) -> DataFrame:
+    """Median of one whole-number column per group; groups without a value are left out."""
+    return medians_by_measure(df, keys, [column]).select(*keys, F.col("_median").alias(name))

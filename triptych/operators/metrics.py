@@ -1,4 +1,4 @@
-"""Averages, extremes and exact medians of several measures in one pass."""
+"""Averages, extremes and exact medians of several measures."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from triptych.operators.medians import exact_medians, join_on_keys
+from triptych.operators.medians import medians_by_measure
 
 
 def measure_metrics(
@@ -19,72 +19,42 @@ def measure_metrics(
     averages: Mapping[str, str] | None = None,
     maxima: Mapping[str, str] | None = None,
     conditional_counts: Mapping[str, str | Column] | None = None,
-    wide: Sequence[str] = (),
 ) -> DataFrame:
     """Per group: rows, then ``avg_x, min_x, max_x, median_x`` of each measure.
 
-    ``measures`` maps the suffix ``x`` to a whole-number column.  ``averages``,
-    ``maxima`` and ``conditional_counts`` (output name -> column or condition)
-    add aggregates that need no median.
+    ``measures`` maps the suffix ``x`` to a column of a whole-number type, tinyint to
+    bigint; several suffixes may name the same column.  ``averages``, ``maxima`` and
+    ``conditional_counts`` (output name -> column or condition) add aggregates that
+    need no median.  Without keys the whole table is one group.
 
-    Grouping sets first reduce the rows to one per group and distinct value of
-    each measure, combined on the map side: a group that holds a third of all
-    rows arrives as a short list of values with their counts, spread over the
-    reducers by value.  Only these lists meet again per group.  A list is as
-    long as the measure has distinct values: short for whole numbers checked by
-    range rules.  Name the suffixes of measures without such a range in ``wide``;
-    their medians are found without a list per group (see ``exact_medians``).
+    All but the medians is one ordinary aggregation.  The medians of all measures
+    come from one more pass that never gathers a group (see ``medians_by_measure``).
+    Both hold a few rows per group, which a last aggregation puts side by side;
+    unlike a join it also takes null keys, and no keys, as they are.
     """
-    narrow = {suffix: column for suffix, column in measures.items() if suffix not in wide}
-    plain = {f"wide_{suffix}": measures[suffix] for suffix in wide}
-    averaged = {**plain, **(averages or {})}
-    maximal = {**plain, **(maxima or {})}
-    counted = conditional_counts or {}
-
-    by_value = df.groupingSets(
-        [[*keys, column] for column in narrow.values()] or [[*keys]], *keys, *narrow.values()
-    ).agg(
-        F.grouping_id().alias("_set"),
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.sum(column).alias(f"_sum_{name}") for name, column in averaged.items()],
-        *[F.count(column).alias(f"_count_{name}") for name, column in averaged.items()],
-        *[F.min(column).alias(f"_min_{name}") for name, column in plain.items()],
-        *[F.max(column).alias(f"_max_{name}") for name, column in maximal.items()],
-        *[F.count_if(test).alias(f"_if_{name}") for name, test in counted.items()],
-    )
-
-    # Every set covers all rows, so what does not depend on a narrow measure is
-    # taken from the first set.  Its id has a zero for the first measure only.
-    in_first_set = F.col("_set") == F.lit((1 << max(len(narrow) - 1, 0)) - 1)
-
-    def once(name: str) -> Column:
-        return F.sum(F.when(in_first_set, F.col(name)))
-
-    def average(name: str) -> Column:
-        return once(f"_sum_{name}") / once(f"_count_{name}")
-
-    outputs = [once("_rows").alias(count)]
+    columns = list(dict.fromkeys(measures.values()))
+    plain = {count: F.count(F.lit(1))}
     for suffix, column in measures.items():
-        if suffix in narrow:
-            value, rows = F.col(column), F.col("_rows")
-            mean = F.sum(value * rows) / F.sum(F.when(value.isNotNull(), rows))
-            low, high = F.min(value), F.max(value)
-        else:
-            mean = average(f"wide_{suffix}")
-            low, high = F.min(f"_min_wide_{suffix}"), F.max(f"_max_wide_{suffix}")
-        outputs += [
-            mean.alias(f"avg_{suffix}"),
-            low.alias(f"min_{suffix}"),
-            high.alias(f"max_{suffix}"),
-        ]
-        if suffix in narrow:
-            outputs.append(F.percentile(value, 0.5, rows).alias(f"median_{suffix}"))
-    outputs += [average(name).alias(name) for name in averages or {}]
-    outputs += [F.max(f"_max_{name}").alias(name) for name in maxima or {}]
-    outputs += [once(f"_if_{name}").alias(name) for name in counted]
-    result = by_value.groupBy(*keys).agg(*outputs)
-
-    for suffix in wide:
-        medians = exact_medians(df, keys, measures[suffix], f"median_{suffix}")
-        result = join_on_keys(result, medians, keys, "left")
-    return result
+        plain[f"avg_{suffix}"] = F.avg(column)
+        plain[f"min_{suffix}"] = F.min(column)
+        plain[f"max_{suffix}"] = F.max(column)
+    plain |= {name: F.avg(column) for name, column in (averages or {}).items()}
+    plain |= {name: F.max(column) for name, column in (maxima or {}).items()}
+    plain |= {name: F.count_if(test) for name, test in (conditional_counts or {}).items()}
+    result = df.groupBy(*keys).agg(*[value.alias(name) for name, value in plain.items()])
+    if not columns:
+        return result
+
+    def median(column: str) -> Column:
+        return F.when(F.col("_measure") == columns.index(column), F.col("_median"))
+
+    medians = medians_by_measure(df, keys, columns).select(
+        *keys, *[median(column).alias(f"median_{suffix}") for suffix, column in measures.items()]
+    )
+    outputs = [count]
+    for suffix in measures:
+        outputs += [f"{kind}_{suffix}" for kind in ("avg", "min", "max", "median")]
+    outputs += [name for name in plain if name not in outputs]
+    both = result.unionByName(medians, allowMissingColumns=True)
+    # One row of each group has the value, the others null.
+    return both.groupBy(*keys).agg(*[F.max(name).alias(name) for name in outputs])

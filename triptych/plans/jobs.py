@@ -44,6 +44,10 @@ class JobResult:
             list(self.counts.items()), "layer string, record_count bigint"
         )
 
+    def bronze_stats(self, spark: SparkSession) -> DataFrame:
+        """Rows, distinct ids and ingestion time of the stored bronze table."""
+        return bronze.stats(read_table(spark, self.base, config.BRONZE_TABLE))
+
     def quality_report(self, spark: SparkSession) -> DataFrame:
         rows = [(label, self.quality[name]) for label, name in views.QUALITY_METRICS.items()]
         return spark.createDataFrame(rows, "metric string, value bigint")

@@ -50,11 +50,23 @@ def age_group_distribution(silver_table: DataFrame) -> DataFrame:
     return ordered(counts, "age_group")
 
 
-def preview(standardized: DataFrame, n: int = 5) -> DataFrame:
-    """A few standardized rows, lowest ids first."""
-    return top_rows(standardized, n, "patient_id").select(
-        "sex", "chest_pain_type", "resting_ecg", "thalassemia", "has_heart_disease"
-    )
+# The columns of silver shown first.
+PREVIEW_COLUMNS = ("sex", "chest_pain_type", "resting_ecg", "thalassemia", "has_heart_disease")
+
+
+def preview(
+    df: DataFrame,
+    n: int = 5,
+    order: Sequence[str] = ("patient_id",),
+    columns: Sequence[str] = PREVIEW_COLUMNS,
+) -> DataFrame:
+    """A few rows, lowest ``order`` keys first; for all columns pass ``["*"]``."""
+    return top_rows(df, n, *order).select(*columns)
+
+
+def bronze_preview(bronze: DataFrame, n: int = 5) -> DataFrame:
+    """A few rows as they came, with all columns, lowest ids first."""
+    return preview(bronze, n, ["id"], ["*"])
 
 
 def demographics_view(demographics: DataFrame, n: int = 10) -> DataFrame:

@@ -25,11 +25,11 @@ BROADCAST_PLAN_ROWS = 100_000
 
 # White space by Unicode, which the tokenizers' normalizer turns into blanks.
 _TEXT_WORD = re.compile(r"[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-_CACHED_WORDS = 200_000
+_CACHED_WORDS = 500_000
 
 
 class WordTokenizer:
-    """Token ids of whole texts, with the ids of recent words kept.
+    """Token ids of whole texts, with the ids of up to a million recent words kept.
 
     For tokenizers that drop white space before they split: no token then crosses
     it, and a text's ids are those of its words in turn.  Texts that may hold a
@@ -44,6 +44,7 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @classmethod
     def open(cls, path: str) -> WordTokenizer:
@@ -53,7 +54,7 @@ class WordTokenizer:
         return cls._open[path]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
     def ids(self, text: str) -> bytes:
@@ -61,11 +62,16 @@ class WordTokenizer:
         if "<|" in text:
             return self._encode([text])[0]
         words = _TEXT_WORD.findall(text)
-        new = [word for word in set(words) if word not in self.words]
+        new = set(words).difference(self.words)
         if len(self.words) + len(new) > _CACHED_WORDS:
-            self.words.clear()
-            new = list(set(words))
-        self.words.update(zip(new, self._encode(new), strict=True))
+            # Words still in use come back from the older ones, the others go next time.
+            self.words, self.older = {}, self.words
+            new = set(words)
+        known = [word for word in new if word in self.older]
+        self.words.update((word, self.older.pop(word)) for word in known)
+        new = list(new.difference(known))
+        if new:
+            self.words.update(zip(new, self._encode(new), strict=True))
         return b"".join(map(self.words.__getitem__, words))
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -55,7 +56,7 @@ class WordTokenizer:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [struct.pack(f"<{len(x)}I", *x.ids) for x in found]
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""

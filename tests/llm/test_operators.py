@@ -415,6 +415,23 @@ def test_shards_are_balanced_and_slots_gapless(spark, docs, rows):
     assert groups.agg(F.count_distinct("shard").alias("n")).filter("n > 1").count() == 0
 
 
+@pytest.mark.parametrize("n", [240, 6000])
+def test_groups_that_fit_a_shard_stay_whole(spark, n):
+    """Of four shards one text fills one and a half, others a half, a fifth and a tenth; the rest are pairs."""
+    edges = [3 * n // 8, n // 8, n // 20, n // 40]
+    texts = [name for name, size in zip(["hot ", "half", "fifth", "tenth"], edges, strict=True) for _ in range(size)]
+    texts += [f"p{i // 2:04}" for i in range(n - len(texts))]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    found = sharding.shard(table, shards=4).join(table, "doc_id").collect()
+    shards = defaultdict(Counter)
+    for row in found:
+        shards[row.text][row.shard] += 1
+    assert {text for text, own in shards.items() if len(own) > 1} == {"hot "}
+    assert sorted(shards["hot "].values()) == [edges[0] // 2] * 2
+    loads = Counter(row.shard for row in found)
+    assert len(loads) == 4 and max(loads.values()) <= 1.1 * n / 4
+
+
 # --- empty tables ---------------------------------------------------------------------------
 
 

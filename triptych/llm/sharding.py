@@ -41,8 +41,9 @@ def shard(
     ones are first bundled by a hash of their text into ``shards *
     bundles_per_shard`` bundles, so the packing on the driver is bounded whatever
     the number of groups.  A group that holds more than ``split_share`` of a
-    shard's bytes, tokens or rows is an item of its own, in as many parts as keep
-    each below that share: at most three times ``shards / split_share`` groups.
+    shard's bytes, tokens or rows is an item of its own: at most three times
+    ``shards / split_share`` groups.  It stays whole if it fits a shard; a larger
+    one is cut into as few even parts as fit one each.
 
     Result: ``doc_id``, ``size`` (UTF-8 bytes and 8), ``text_crc32`` (null text:
     that of no bytes), ``tokens``, ``law`` (``bytes``), ``shard``, ``slot``, and
@@ -68,23 +69,29 @@ def shard(
     if not totals["rows"]:
         return _result(rows.withColumn("_item", F.lit(0)), spark, [], 0)
 
-    # Parts of a group: its largest share of a shard in any dimension, in units of split_share.
-    share = F.greatest(
-        *[F.col(name) / F.lit(max(totals[name], 1) / shards * split_share) for name in _DIMENSIONS]
+    # A group's size: its largest share of a shard in any dimension.
+    share = F.greatest(*[F.col(name) / F.lit(max(totals[name], 1) / shards) for name in _DIMENSIONS])
+    large = store.save(
+        rows.groupBy("_group").agg(*measures).select("_group", "rows", share.alias("_share")).filter(
+            F.col("_share") > split_share
+        ),
+        "large",
     )
-    large = rows.groupBy("_group").agg(*measures).filter(share > 1)
-    parts = large.select("_group", F.ceil(share).alias("_parts"))
     count = shards * bundles_per_shard
-    item = F.when(F.col("_parts").isNull(), F.pmod("_group", F.lit(count)))
-    # Parts get ids beyond those of the bundles; a clash of two only joins two parts.
-    part = F.pmod(F.xxhash64("_row"), F.col("_parts"))
-    keyed = store.save(
-        rows.join(F.broadcast(parts), "_group", "left").withColumn(
-            "_item",
-            F.coalesce(item, F.lit(count) + F.pmod(F.xxhash64("_group", part), F.lit(1 << 40))),
-        ).drop("_parts"),
-        "items",
-    )
+    parts = F.ceil(F.col("_share") - F.lit(1e-9)).alias("_parts")
+    joined = rows.join(F.broadcast(large.select("_group", parts)), "_group", "left")
+    # Large groups get ids beyond those of the bundles; a clash of two only joins two items.
+    own = F.lit(count) + F.pmod(F.xxhash64("_group", F.coalesce("_part", F.lit(0))), F.lit(1 << 40))
+    item = F.when(F.col("_parts").isNull(), F.pmod("_group", F.lit(count))).otherwise(own).alias("_item")
+    names = [*rows.columns, item]
+    is_cut = F.coalesce(F.col("_parts") > 1, F.lit(False))
+    keyed = joined.filter(~is_cut).withColumn("_part", F.lit(0).cast("bigint")).select(*names)
+    rows_cut = large.filter(F.col("_share") > 1 + 1e-9).agg(F.sum("rows")).first()[0]
+    if rows_cut:
+        # By rank, as parts by a hash differ in size and some would not fit.
+        ranked = rank_within(joined.filter(is_cut), ["_group"], ["_row"], rows_cut)
+        keyed = keyed.unionAll(ranked.withColumn("_part", F.pmod("rank", F.col("_parts"))).select(*names))
+    keyed = store.save(keyed, "items")
     found = keyed.groupBy("_item").agg(*measures).orderBy("_item").collect()
     vectors = np.array([[row[name] for name in _DIMENSIONS] for row in found], float)
     placed = place_items(vectors, shards)

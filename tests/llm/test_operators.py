@@ -390,6 +390,36 @@ def test_language_of_awkward_rows(docs, rows, empty):
     assert {row.lang_pred for row in nothing_learned.collect()} == {"und"}
 
 
+def test_a_texts_vector_is_the_same_at_any_place_of_a_batch():
+    texts = ["hello", "hello", "終", "", " 終 ", "42", "Hello!", "a b  c", "a b c ", "終", "hello"]
+    vectors, has_letter = language.text_vectors(texts, 256)
+    for text, vector, known in zip(texts, vectors, has_letter, strict=True):
+        alone, letter = language.text_vectors([text], 256)
+        assert (vector == alone[0]).all() and known == letter[0]
+        assert bool(vector.any()) == known
+    expected = np.zeros(256)
+    padded = [ord(c) if c != " " else 0 for c in " hello "]
+    for gram in zip(padded, padded[1:], padded[2:], strict=False):
+        a, b, c = language.letter_vectors(np.array(gram), 256)
+        expected += np.roll(a, 2) * np.roll(b, 1) * c
+    assert vectors[1] == pytest.approx(expected / np.linalg.norm(expected), abs=1e-6)
+
+
+def test_repeated_rows_and_one_letter_texts_have_one_language(spark):
+    texts = ["the cat and the dog", "der Hund und die Katze", "終", "x"] * 150
+    langs = ["en", "de", "zh", None] * 150
+    table = spark.createDataFrame(
+        list(zip(range(600), texts, langs, strict=True)), "doc_id bigint, text string, lang string"
+    )
+    found = language.identify(table.repartition(3)).join(table.select("doc_id", "text"), "doc_id")
+    scores = defaultdict(set)
+    for row in found.collect():
+        scores[row.text].add((row.lang_pred, row.score))
+    assert all(len(own) == 1 for own in scores.values())
+    (lang, score), = scores["終"]
+    assert lang == "zh" and score == pytest.approx(1)
+
+
 # --- sharding -----------------------------------------------------------------------------
 
 

@@ -51,9 +51,9 @@ def text_vectors(texts: list[str], dimensions: int) -> tuple[np.ndarray, np.ndar
     sizes = np.fromiter((len(text.lower()) + 3 for text in texts), np.int64, len(texts))
     owner = np.repeat(np.arange(len(texts)), sizes)
     codes = np.where(_letters()[codes], codes, 0)
-    # Two blanks stand before each text and none of its trigrams begins in another.
+    # One blank of a run stays, also where the text before ends in a blank.
     run = np.ones(len(codes), bool)
-    run[1:] = (codes[1:] != 0) | (codes[:-1] != 0)
+    run[1:] = (codes[1:] != 0) | (codes[:-1] != 0) | (owner[1:] != owner[:-1])
     codes, owner = codes[run], owner[run]
     has_letter = np.bincount(owner, codes != 0, len(texts)) > 0
 
@@ -166,7 +166,8 @@ def predict(
                 if not languages:
                     break
                 vectors, has_letter = text_vectors(texts, dimensions)
-                cosines = np.clip(vectors @ prototypes.T, 0, 1)
+                # Not a matrix product: its last digits depend on the number of rows.
+                cosines = np.clip(np.einsum("td,ld->tl", vectors, prototypes), 0, 1)
                 own = slice(first, first + len(texts))
                 best[own] = np.where(has_letter, cosines.argmax(axis=1), len(languages))
                 score[own] = np.where(has_letter, cosines.max(axis=1), 0)

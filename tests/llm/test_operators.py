@@ -189,6 +189,29 @@ def test_discounts_without_enough_counts_stay_between_0_and_1():
         assert ((factors > 0) & (factors < 1)).all()
 
 
+def test_discounts_stay_good_turings_where_copies_lift_a_count():
+    # Counts of counts of the pairs of sf0.1: with k = 5 the factor of 4 would be 1.08.
+    n = [1653178, 262539, 56436, 23327, 20064, 8191]
+    m = 4 * n[3] / n[0]
+    expected = [((r + 1) * n[r] / n[r - 1] / r - m) / (1 - m) for r in (1, 2, 3)]
+    discounts = katz.Discounts.good_turing(n)
+    assert discounts(np.arange(1, 8)) == pytest.approx([*expected, 1, 1, 1, 1])
+    assert [round(d, 2) for d in expected] == [0.28, 0.28, 0.52]
+    # All five are valid: k stays 5.
+    n = [5000, 1600, 760, 440, 280, 190]
+    m = 6 * n[5] / n[0]
+    expected = [((r + 1) * n[r] / n[r - 1] / r - m) / (1 - m) for r in range(1, 6)]
+    assert katz.Discounts.good_turing(n)(np.arange(1, 7)) == pytest.approx([*expected, 1])
+    # No k is valid: (r + 1)* / r of the line through the logarithms.
+    n = [100, 20, 30, 10, 0, 5]
+    x, y = [math.log(r) for r in (1, 2, 3, 4, 6)], [math.log(c) for c in n if c]
+    slope = sum((a - sum(x) / 5) * b for a, b in zip(x, y, strict=True)) / sum((a - sum(x) / 5) ** 2 for a in x)
+    m = 6 ** (slope + 1)
+    expected = [((1 + 1 / r) ** (slope + 1) - m) / (1 - m) for r in range(1, 6)]
+    assert all(0 < d < 1 for d in expected)
+    assert katz.Discounts.good_turing(n)(np.arange(1, 7)) == pytest.approx([*expected, 1])
+
+
 # --- exact dedup ----------------------------------------------------------------------
 
 

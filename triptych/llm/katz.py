@@ -57,22 +57,45 @@ class Discounts:
         """From n1 to n(k+1): how many n-grams occur once, twice and so on.
 
         d(r) = (r*/r - m) / (1 - m) with r* = (r + 1) n(r+1) / n(r) and
-        m = (k + 1) n(k+1) / n1.  Where the counts are too few for that (a factor
-        would not lie between 0 and 1), the absolute discount n1 / (n1 + 2 n2) is
-        taken off each count up to k instead, or one half without counts of one.
+        m = (k + 1) n(k+1) / n1.  Copies of texts can lift a count of counts so far
+        that a factor would not lie between 0 and 1.  Then k is the largest smaller
+        one, 2 at least, whose factors all do; without such a k, the counts of
+        counts are smoothed by a log-linear fit and k stays.  Only if the fit fails
+        too is the absolute discount n1 / (n1 + 2 n2) taken off each count up to k,
+        or one half without counts of one or two.
         """
         n = np.array([0, *counts_of_counts], float)
-        k = len(counts_of_counts) - 1
-        r = np.arange(1, k + 1)
-        if (n[1:] > 0).all():
-            m = (k + 1) * n[k + 1] / n[1]
-            if m < 1:
-                factors = ((r + 1) * n[r + 1] / n[r] / r - m) / (1 - m)
-                if ((factors > 0) & (factors < 1)).all():
-                    return cls(np.append(1.0, factors))
+        largest = len(counts_of_counts) - 1
+        for k in range(largest, 1, -1):
+            factors = cls._factors(n, k)
+            if factors is not None:
+                return cls(factors)
+        factors = cls._factors(cls._smoothed(n), largest)
+        if factors is not None:
+            return cls(factors)
+        r = np.arange(1, largest + 1)
         off = n[1] / (n[1] + 2 * n[2]) if n[1] and n[2] else 0.5
         return cls(np.append(1.0, (r - off) / r))
 
+    @staticmethod
+    def _factors(n: np.ndarray, k: int) -> np.ndarray | None:
+        """Good-Turing factors of counts 1 to k from n1 to n(k+1), if all lie between 0 and 1."""
+        if (n[1 : k + 2] <= 0).any() or (k + 1) * n[k + 1] >= n[1]:
+            return None
+        r = np.arange(1, k + 1)
+        m = (k + 1) * n[k + 1] / n[1]
+        factors = ((r + 1) * n[r + 1] / n[r] / r - m) / (1 - m)
+        return np.append(1.0, factors) if ((factors > 0) & (factors < 1)).all() else None
+
+    @staticmethod
+    def _smoothed(n: np.ndarray) -> np.ndarray:
+        """n(r) on the line through the logarithms of r and of the counts of counts above 0."""
+        r = np.flatnonzero(n)
+        if len(r) < 2:
+            return np.zeros(len(n))
+        slope, level = np.polyfit(np.log(r), np.log(n[r]), 1)
+        return np.append(0.0, np.exp(level + slope * np.log(np.arange(1, len(n)))))
+
     def __call__(self, counts: np.ndarray) -> np.ndarray:
         small = np.where(counts < len(self.factors), counts, 0)
         return self.factors[small.astype(np.int64)]

@@ -301,6 +301,22 @@ def test_mix_hits_its_targets(docs, rows):
     assert mixed.count() == sum(row.copies for row in report)
 
 
+def test_rows_of_one_id_are_dealt_to_many_buckets(spark, monkeypatch):
+    table = spark.createDataFrame(
+        [(7 if i % 3 == 0 else i, "a b c", "s0") for i in range(3000)], "doc_id bigint, text string, source string"
+    )
+    longest, fold = [], mixing._fold
+
+    def watched(units, seed):
+        longest.append(units.groupBy("source", "bucket").count().agg(F.max("count")).first()[0] or 0)
+        return fold(units, seed)
+
+    monkeypatch.setattr(mixing, "_fold", watched)
+    report = mixing.mix_report(table, share=0.5).collect()
+    assert len(report) == 3000 and abs(sum(row.taken for row in report) - 4500) <= 2.5
+    assert longest and max(longest) < 4 * 32
+
+
 # --- near duplicates --------------------------------------------------------------------
 
 

@@ -158,8 +158,11 @@ def copies(
         .withColumn("_whole", F.floor(rate + _NEAR))
         .withColumn("p", F.greatest(rate - F.col("_whole"), F.lit(0.0)))
     )
-    key = F.xxhash64(F.coalesce("doc_id", "_row"), F.lit(seed))
-    units = rated.filter((F.col("p") > _NEAR) & (F.col("size") > 0)).select(
+    # Rows of one id would share their buckets at every level.
+    known_id = F.coalesce("doc_id", "_row")
+    repeated = rows.groupBy(known_id.alias("_id")).count().filter("count > 1").select("_id", F.lit(True).alias("_repeated"))
+    key = F.when(F.col("_repeated"), F.xxhash64(known_id, "_row", F.lit(seed))).otherwise(F.xxhash64(known_id, F.lit(seed)))
+    units = rated.withColumn("_id", known_id).join(repeated, "_id", "left").filter((F.col("p") > _NEAR) & (F.col("size") > 0)).select(
         "source", F.col("_row").alias("row"), key.alias("key"), F.col("size").cast("double").alias("size"), "p"
     )
     most_rows = rows.filter("size > 0").groupBy("source").count().agg(F.max("count")).first()[0] or 0

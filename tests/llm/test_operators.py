@@ -351,6 +351,13 @@ def test_parity_join_links_every_like_pair(docs, rows, like):
     assert kept.columns == docs.columns and kept.count() == len(ids)
 
 
+def test_all_words_of_a_sketch_are_used(docs):
+    texts = docs.select(F.monotonically_increasing_id().alias("_row"), "text", F.col("doc_id").alias("_id"))
+    found = near._describe(texts, near.Likeness())
+    used = found.agg(*[F.bit_or(f"s{i}") for i in range(near._SKETCH_WORDS)]).first()
+    assert all(used)
+
+
 # --- nearest neighbours -------------------------------------------------------------------
 
 

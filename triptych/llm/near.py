@@ -158,7 +158,7 @@ def _describe(texts: DataFrame, like: Likeness) -> DataFrame:
                 np.cumsum(mix(values), out=sums[1, 1:])
                 d1 = sums[0, starts[1:]] ^ sums[0, starts[:-1]]
                 d2 = sums[1, starts[1:]] - sums[1, starts[:-1]]
-                word = values >> np.uint64(62)
+                word = values >> np.uint64(65 - _SKETCH_WORDS.bit_length())
                 bit = np.uint64(1) << ((values >> np.uint64(50)) & np.uint64(63))
                 sketch = []
                 for i in range(_SKETCH_WORDS):

@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triptych.llm import chat, dedup, katz, language, mixing, near, neighbours, packing, sharding, urls
+from triptych.llm import alignment, chat, dedup, katz, language, mixing, near, neighbours, packing, sharding, urls
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 
 URL_RULES = (
     ("allow", "com/"),
@@ -67,6 +69,10 @@ def op10_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_report(_table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_TOKENIZER)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
     for function in (
@@ -80,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_filter,
         op9_language,
         op10_vector_sharding,
+        op11_token_alignment,
     )
 }
 

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triptych.llm import alignment, chat, dedup, katz, language, mixing, near, neighbours, packing, sharding, urls
+from triptych.llm import (
+    alignment,
+    chat,
+    collocations,
+    dedup,
+    katz,
+    language,
+    mixing,
+    near,
+    neighbours,
+    packing,
+    sharding,
+    urls,
+    vectorfile,
+)
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -73,6 +87,14 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment_report(_table(spark, sf_dir, "documents"), BYTE_TOKENIZER, PIECE_TOKENIZER)
 
 
+def op12_vector_file_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorfile.top_products(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
     for function in (
@@ -87,10 +109,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_language,
         op10_vector_sharding,
         op11_token_alignment,
+        op12_vector_file_top,
+        op13_collocations,
     )
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_streaming_dedup": dedup.DEDUP_SQL,
     "op4_chat_snapshots": chat.COLLAPSE_SQL,
+    "op12_vector_file_top": vectorfile.TOP_SQL,
+    "op13_collocations": collocations.COLLOCATIONS_SQL,
 }

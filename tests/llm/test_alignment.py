@@ -111,6 +111,24 @@ def test_report_equals_loops_over_tokens(docs, block_chars):
     assert by_id[35][1] > 10  # strings of special tokens are plain text
 
 
+def test_parts_give_the_ids_of_whole_texts(spark, monkeypatch):
+    """Also with few words kept, and where a blank has something unusual beside it."""
+    monkeypatch.setattr(alignment, "_KEPT_WORDS", 300)
+    pair = alignment.TokenizerPair(A_PATH, B_PATH)
+    assert pair.cuts_at_blanks
+    odd = ["a  b", " a", "a ", "a \u0301b", "x\u00a0 y z", "“a” “b” c", "it 's don 't", "1 ２ ٣", "😀 😀", "a\n b", "▁ a b", "a \x1c b", "a \u200b b", "a b\x85 c"]
+    real = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    for texts in (odd, real[:60], odd + real[60:], odd):
+        a, b = pair.encode(texts)
+        for text, x, y in zip(texts, a, b):
+            whole = [pair.a.encode(" " + text, add_special_tokens=False).ids, pair.b.encode(text)]
+            if len(x):
+                assert [x.tolist(), y.tolist()] == whole
+            else:
+                tables = zip((pair.a_bytes, pair.b_bytes), whole)
+                assert not text or any(b"".join(t[i] for i in ids) != (" " + text).encode() for t, ids in tables)
+
+
 def test_long_documents_are_aligned_whole(docs):
     rows = {r.doc_id: r for r in alignment.alignment_report(docs, A_PATH, B_PATH).filter("doc_id >= 38").collect()}
     pair = alignment.TokenizerPair.open(A_PATH, B_PATH)

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -30,6 +31,10 @@ from triptych.llm.katz import packed, unpacked
 from triptych.llm.store import Store
 
 _META_SPACE = "▁"
+#: A blank between printable ASCII or letters and digits, and a text that such can enclose.
+_BORDER = re.compile(r"(?<=[\w!-~]) (?=[\w!-~])")
+_IS_WORD = re.compile(r"[\w!-~](\S*[\w!-~])?\Z")
+_KEPT_WORDS = 200_000
 _SLICE_BYTES = 1 << 19
 _PRODUCT_TERMS = 1 << 22
 _ANSWERS_TOGETHER = 200_000
@@ -147,6 +152,13 @@ class TokenizerPair:
         self.b_bytes = [self._piece_bytes(i) for i in range(self.b.get_piece_size())]
         if max(len(self.a_bytes), len(self.b_bytes)) > 1 << 16:
             raise ValueError("ids above 65,535 do not fit a packed pair")
+        # A's pattern never joins a blank to what stands before it; B's pieces might.
+        pieces = map(self.b.id_to_piece, range(self.b.get_piece_size()))
+        self.cuts_at_blanks = not any(_META_SPACE in piece.lstrip(_META_SPACE) for piece in pieces)
+        self.a_of: dict[str, bytes] = {}
+        self.b_of: dict[str, bytes] = {}
+        self.older: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.differing: set[str] = set()
 
     def _piece_bytes(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -177,22 +189,61 @@ class TokenizerPair:
         followed += [f"{i},".encode() for i in b] + [f"{i};".encode() for i in b]
         return np.array(followed, object)
 
+    def _encode_parts(self, parts: list[str]) -> None:
+        """Learn the ids of parts; each stands for a blank and its text."""
+        found = self.a.encode_batch_fast([f" {part}" for part in parts], add_special_tokens=False)
+        for part, x, y in zip(parts, found, self.b.encode(parts, num_threads=1), strict=True):
+            x, data = x.ids, f" {part}".encode()
+            self.a_of[part], self.b_of[part] = np.array(x, "<u2").tobytes(), np.array(y, "<u2").tobytes()
+            if b"".join(map(self.a_bytes.__getitem__, x)) != data or b"".join(map(self.b_bytes.__getitem__, y)) != data:
+                self.differing.add(part)
+
+    def _parts(self, text: str) -> list[str]:
+        """``text`` cut at blanks that no token crosses; parts that are not known yet may be new."""
+        if not self.cuts_at_blanks:
+            return [text]
+        parts = text.split(" ")
+        new = set(parts).difference(self.a_of)
+        return parts if all(map(_IS_WORD.match, new)) else _BORDER.split(text)
+
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """A's and B's ids of every text; none where joined bytes differ from blank and text."""
-        a_ids, b_ids = [], []
-        nothing = np.zeros(0, np.int64)
-        blanked = [f" {text}" for text in texts]
-        found = self.a.encode_batch_fast(blanked, add_special_tokens=False)
-        for text, x, y in zip(blanked, found, self.b.encode(texts, num_threads=1), strict=True):
-            x, data = x.ids, text.encode()
-            same = (
-                len(data) > 1
-                and b"".join(map(self.a_bytes.__getitem__, x)) == data
-                and b"".join(map(self.b_bytes.__getitem__, y)) == data
-            )
-            a_ids.append(np.array(x, np.int64) if same else nothing)
-            b_ids.append(np.array(y, np.int64) if same else nothing)
-        return a_ids, b_ids
+        """A's and B's ids of every text; none where joined bytes differ from blank and text.
+
+        Neither tokenizer joins what stands on both sides of a blank between two
+        printable characters, so the ids of a text are those of its parts in turn.  The
+        ids of recent words are kept.
+        """
+        if len(self.a_of) > _KEPT_WORDS:
+            # Words still in use come back from the older ones, the others go next time.
+            self.older, self.a_of, self.b_of = (self.a_of, self.b_of), {}, {}
+            self.differing &= self.older[0].keys()
+        parts = [self._parts(text) for text in texts]
+        new = set().union(*parts).difference(self.a_of)
+        known = [part for part in new if part in self.older[0] and part not in self.differing]
+        self.a_of.update((part, self.older[0][part]) for part in known)
+        self.b_of.update((part, self.older[1][part]) for part in known)
+        new = list(new.difference(known))
+        if new:
+            self._encode_parts(new)
+        ids = []
+        for of in (self.a_of, self.b_of):
+            ids.append([np.frombuffer(b"".join(map(of.__getitem__, own)), "<u2").astype(np.int64) for own in parts])
+        for i, (text, own) in enumerate(zip(texts, parts, strict=True)):
+            if not text or not (self.differing.isdisjoint(own) or self._is_rebuilt(text, ids[0][i], ids[1][i])):
+                ids[0][i] = ids[1][i] = np.zeros(0, np.int64)
+        # Only words are kept: other parts may depend on what stands beside them.
+        for part in new:
+            if not _IS_WORD.match(part):
+                del self.a_of[part], self.b_of[part]
+                self.differing.discard(part)
+        return ids[0], ids[1]
+
+    def _is_rebuilt(self, text: str, a: np.ndarray, b: np.ndarray) -> bool:
+        data = f" {text}".encode()
+        return all(
+            b"".join(map(table.__getitem__, ids.tolist())) == data
+            for table, ids in ((self.a_bytes, a), (self.b_bytes, b))
+        )
 
 
 @dataclass

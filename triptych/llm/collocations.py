@@ -6,8 +6,8 @@ counted by direct address (one dense array, one ``bincount``), the others are so
 lists of cells.  Frequent pairs are numbered by frequency again and take the place of
 words, so that two overlapping pairs make a phrase of three words, and so on.
 
-Blocks of whole texts count their own cells, ask for the totals of those cells, and
-learn the numbers of the ones that are frequent in the corpus.
+Blocks of whole texts count their own cells and send them, packed, to buckets of cells;
+from these they learn the numbers of the ones that are frequent in the corpus.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ UNKNOWN_LANGUAGE = "und"
 _TILE = 512
 #: A tile is counted by direct address when it has a pair for every so many cells.
 _CELLS_PER_PAIR = 16
+#: Pairs of neighbours in the corpus for each bucket that their totals are counted in.
+_PAIRS_PER_BUCKET = 1_000_000
 
 
 def _bytes_in(characters: str) -> np.ndarray:
@@ -156,12 +158,12 @@ def _blocks(rows: DataFrame, block_words: int) -> DataFrame:
 
 
 def _named(blocks: DataFrame, numbered: DataFrame) -> DataFrame:
-    """(block, grams) from words to their numbers; -1 for rare words and between pieces."""
+    """Blocks from words to their numbers; none for rare words and between pieces."""
     words = blocks.select("block", F.posexplode(F.arrays_zip("langs", "words")).alias("place", "w"))
     asked = words.select("block", (F.col("place") + 1).cast("bigint").alias("place"), "w.langs", "w.words")
-    found = asked.join(
-        numbered.select(F.col("lang").alias("langs"), F.col("words")[0].alias("words"), "id"), ["langs", "words"]
-    )
+    # Merged at every size: also where few words would fit a broadcast, the plan stays.
+    known = numbered.select(F.col("lang").alias("langs"), F.col("words")[0].alias("words"), "id")
+    found = asked.join(known.hint("merge"), ["langs", "words"])
     answers = gathered(found.select("block", "place", "id"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,11 +173,19 @@ def _named(blocks: DataFrame, numbered: DataFrame) -> DataFrame:
                 place, number = answer_columns(answer, 2)
                 table = np.full(int(tokens.max()) + 1, -1)
                 table[place] = number
-                columns = [pa.array([block.as_py()]), pa.array([packed(table[tokens] + 1)], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["block", "grams"])
+                yield _gram_row(block.as_py(), table[tokens] + 1)
+
+    return blocks.select("block", "tokens").join(answers, "block").mapInArrow(apply, _GRAMS)
+
+
+_GRAMS = "block bigint, grams binary, pairs bigint"
 
-    joined = blocks.select("block", "tokens").join(answers, "block")
-    return joined.mapInArrow(apply, "block bigint, grams binary")
+
+def _gram_row(block: int, grams: np.ndarray) -> pa.RecordBatch:
+    """Numbers from 1, 0 for none, and how many neighbours both have one."""
+    pairs = int(((grams[:-1] > 0) & (grams[1:] > 0)).sum())
+    columns = [pa.array([block]), pa.array([packed(grams)], pa.binary()), pa.array([pairs])]
+    return pa.RecordBatch.from_arrays(columns, names=["block", "grams", "pairs"])
 
 
 def _pairs_of(grams: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -186,8 +196,13 @@ def _pairs_of(grams: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return at, numbers, rank[: len(at)], rank[len(at) :]
 
 
-def _asked(grams: DataFrame) -> DataFrame:
-    """(block, prefix, suffix, n): the pairs of neighbouring numbers in every block."""
+def _bucket(prefix: np.ndarray, suffix: np.ndarray, buckets: int) -> np.ndarray:
+    key = mix(mix(prefix.astype(np.uint64)) ^ suffix.astype(np.uint64))
+    return (((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
+def _asked(grams: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, block, data): per block and bucket its pairs of neighbouring numbers and their counts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,18 +211,103 @@ def _asked(grams: DataFrame) -> DataFrame:
                 if not len(left):
                     continue
                 left, right, n = count_pairs(left, right, len(numbers))
-                columns = [np.full(len(n), block.as_py()), numbers[left], numbers[right], n]
+                prefix, suffix = numbers[left], numbers[right]
+                bucket = _bucket(prefix, suffix, buckets)
+                order = np.lexsort((suffix, prefix, bucket))
+                columns = [x[order] for x in (prefix, suffix, n)]
+                edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                used = np.flatnonzero(np.diff(edges))
+                data = [packed(*(x[edges[b] : edges[b + 1]] for x in columns)) for b in used]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(used), pa.array(np.full(len(used), block.as_py())), pa.array(data, pa.binary())],
+                    names=["bucket", "block", "data"],
+                )
+
+    return grams.select("block", "grams").mapInArrow(count, "bucket bigint, block bigint, data binary")
+
+
+def _counted(asked: DataFrame, min_count: int) -> DataFrame:
+    """Per bucket its frequent pairs (prefix, suffix, count), and per block which of them it has."""
+    kind = pa.list_(pa.struct([("block", pa.int64()), ("has", pa.binary())]))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket, parts in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                arrays = [unpacked(part["data"], 3).astype(np.int64) for part in parts]
+                prefix, suffix, n = np.concatenate(arrays, axis=1)
+                order = np.lexsort((suffix, prefix))
+                new = np.ones(len(order), bool)
+                new[1:] = (np.diff(prefix[order]) != 0) | (np.diff(suffix[order]) != 0)
+                pair = np.empty(len(order), np.int64)
+                pair[order] = np.cumsum(new) - 1
+                counts = np.zeros(int(new.sum()), np.int64)
+                np.add.at(counts, pair, n)
+                frequent = counts >= min_count
+                first, place = order[new][frequent], np.cumsum(frequent) - 1
+                has, at = [], 0
+                for part, array in zip(parts, arrays, strict=True):
+                    own = pair[at : at + array.shape[1]]
+                    at += array.shape[1]
+                    own = place[own[frequent[own]]]
+                    if len(own):
+                        has.append({"block": part["block"], "has": packed(own)})
+                columns = [
+                    pa.array([bucket], pa.int64()),
+                    pa.array([packed(prefix[first], suffix[first], counts[frequent])], pa.binary()),
+                    pa.array([has], kind),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "pairs", "blocks"])
+
+    return (
+        asked.groupBy("bucket")
+        .agg(F.collect_list(F.struct("block", "data")).alias("parts"))
+        .mapInArrow(count, "bucket bigint, pairs binary, blocks array<struct<block:bigint,has:binary>>")
+    )
+
+
+def _frequent(counted: DataFrame) -> DataFrame:
+    """(bucket, place, prefix, suffix, a) of all frequent pairs."""
+
+    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket, pairs in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                columns = unpacked(pairs, 3).astype(np.int64)
+                place = np.arange(columns.shape[1])
+                columns = [np.full(len(place), bucket), place, *columns]
                 yield pa.RecordBatch.from_arrays(
-                    list(map(pa.array, columns)), names=["block", "prefix", "suffix", "n"]
+                    list(map(pa.array, columns)), names=["bucket", "place", "prefix", "suffix", "a"]
                 )
 
-    return grams.mapInArrow(count, "block bigint, prefix bigint, suffix bigint, n bigint")
+    schema = "bucket bigint, place bigint, prefix bigint, suffix bigint, a bigint"
+    return counted.select("bucket", "pairs").mapInArrow(unfold, schema)
 
 
-def _joined(grams: DataFrame, asked: DataFrame, numbered: DataFrame) -> DataFrame:
-    """(block, grams) with the numbers of the longer phrases, where they are frequent."""
-    found = asked.join(numbered.select("prefix", "suffix", "id"), ["prefix", "suffix"])
-    answers = gathered(found.select("block", "prefix", "suffix", "id"))
+def _answers(counted: DataFrame, numbered: DataFrame) -> DataFrame:
+    """(block, answers): prefix, suffix and new number of the frequent pairs of every block."""
+    ids = gathered(numbered.select(F.col("bucket").alias("block"), "place", "id"))
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pairs, blocks, found in zip(*batch.columns, strict=True):
+                prefix, suffix, _ = unpacked(pairs.as_py(), 3)
+                place, number = answer_columns(found, 2)
+                numbers = number[np.argsort(place)]
+                block, data = [], []
+                for part in blocks.as_py():
+                    own = unpacked(part["has"], 1)[0].astype(np.int64)
+                    block.append(part["block"])
+                    data.append(packed(prefix[own], suffix[own], numbers[own]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(block, pa.int64()), pa.array(data, pa.binary())], names=["block", "data"]
+                )
+
+    per_bucket = counted.join(ids.withColumnRenamed("block", "bucket"), "bucket").select("pairs", "blocks", "answers")
+    answered = per_bucket.mapInArrow(answer, "block bigint, data binary")
+    return answered.groupBy("block").agg(F.collect_list("data").alias("answers"))
+
+
+def _joined(grams: DataFrame, answers: DataFrame) -> DataFrame:
+    """Blocks with the numbers of the longer phrases, where they are frequent."""
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,10 +323,9 @@ def _joined(grams: DataFrame, asked: DataFrame, numbered: DataFrame) -> DataFram
                 hit = known[place] == code
                 longer = np.zeros(len(unpacked(own, 1)[0]), np.int64)
                 longer[at[hit]] = number[place[hit]] + 1
-                columns = [pa.array([block.as_py()]), pa.array([packed(longer)], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["block", "grams"])
+                yield _gram_row(block.as_py(), longer)
 
-    return grams.join(answers, "block").mapInArrow(apply, "block bigint, grams binary")
+    return grams.select("block", "grams").join(answers, "block").mapInArrow(apply, _GRAMS)
 
 
 # --- phrases ----------------------------------------------------------------------
@@ -237,9 +336,9 @@ def _numbered(phrases: DataFrame, store: Store, name: str) -> DataFrame:
 
     Rows are sorted in parts by ranges; a part's numbers start where those before end.
     """
-    part, place = F.shiftright("_place", 33), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    part, place = F.shiftright("_sorted", 33), F.col("_sorted").bitwiseAND(F.lit((1 << 33) - 1))
     ordered = store.save(
-        phrases.orderBy(F.desc("a"), "lang", "words").withColumn("_place", F.monotonically_increasing_id()),
+        phrases.orderBy(F.desc("a"), "lang", "words").withColumn("_sorted", F.monotonically_increasing_id()),
         f"ordered{name}",
     )
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per part
@@ -249,7 +348,7 @@ def _numbered(phrases: DataFrame, store: Store, name: str) -> DataFrame:
         .select("_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
     )
     numbered = ordered.withColumn("_part", part).join(starts, "_part").withColumn("id", F.col("_start") + place)
-    return store.save(numbered.drop("_part", "_place", "_start"), f"phrases{name}")
+    return store.save(numbered.drop("_part", "_sorted", "_start"), f"phrases{name}")
 
 
 def _longer(found: DataFrame, shorter: DataFrame) -> DataFrame:
@@ -275,6 +374,8 @@ def _longer(found: DataFrame, shorter: DataFrame) -> DataFrame:
             F.concat(F.array("_rest"), "rests").alias("rests"),
             "prefix",
             "suffix",
+            "bucket",
+            "place",
         )
     )
 
@@ -344,12 +445,14 @@ def collocations(
     store.drop("blocks", "ordered1")
     store.release()
     for length in range(2, max_words + 1):
-        asked = store.save(_asked(grams), f"asked{length}")
-        found = asked.groupBy("prefix", "suffix").agg(F.sum("n").alias("a")).filter(F.col("a") >= min_count)
-        levels.append(_numbered(_longer(found, levels[-1]), store, str(length)))
+        pairs = grams.agg(F.sum("pairs")).first()[0] or 0
+        asked = _asked(grams, max(1, pairs // _PAIRS_PER_BUCKET))
+        counted = store.save(_counted(asked, min_count), f"counted{length}")
+        store.release()
+        levels.append(_numbered(_longer(_frequent(counted), levels[-1]), store, str(length)))
         if length < max_words:
-            grams = store.save(_joined(grams, asked, levels[-1]), f"grams{length}")
-        store.drop(f"asked{length}", f"grams{length - 1}", f"ordered{length}")
+            grams = store.save(_joined(grams, _answers(counted, levels[-1])), f"grams{length}")
+        store.drop(f"counted{length}", f"grams{length - 1}", f"ordered{length}")
         store.release()
 
     kept = [_not_inside_longer(own, longer, absorbed_at) for own, longer in zip(levels[1:-1], levels[2:], strict=True)]

@@ -19,7 +19,7 @@ from triptych.functions import additive_score, breaks_any, bucketize, label_by_p
 from triptych.operators import measure_metrics, ordered, reports, share_of_total, table_counts
 from triptych.plans import bronze, gold, jobs, silver, views
 from triptych.session import scratch_dir
-from triptych.sources import read_csv, read_table, write_csv, write_table
+from triptych.sources import LOST, MALFORMED, read_csv, read_table, stored_counts, write_csv, write_table
 
 CLOCKS = ("ingestion_timestamp", "validation_timestamp", "created_at")
 
@@ -59,13 +59,23 @@ def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _validated(spark, sf_dir).transform(silver.clean)
 
 
+_bases: dict[tuple[str, str], str] = {}
+
+
+def _stored_base(spark: SparkSession, sf_dir: str) -> str:
+    """Where the jobs have stored all layers; they run once per application and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _bases:
+        base = scratch_dir(spark)
+        write_table(_bronze(spark, sf_dir), base, config.BRONZE_TABLE)
+        jobs.run_silver(spark, base)
+        jobs.run_gold(spark, base)
+        _bases[key] = base
+    return _bases[key]
+
+
 def _stored(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The tables that the jobs write from the stored bronze rows on."""
-    base = scratch_dir(spark)
-    write_table(_bronze(spark, sf_dir), base, config.BRONZE_TABLE)
-    jobs.run_silver(spark, base)
-    jobs.run_gold(spark, base)
-    return jobs.stored_tables(spark, base)
+    return jobs.stored_tables(spark, _stored_base(spark, sf_dir))
 
 
 # --- bronze -----------------------------------------------------------------------
@@ -190,8 +200,8 @@ def gold_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def record_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the stored tables, from their file footers."""
-    return table_counts(_stored(spark, sf_dir))
+    """Rows of the stored tables, as their commit states them."""
+    return stored_counts(spark, _stored_base(spark, sf_dir))
 
 
 @_query
@@ -297,13 +307,42 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path)
 
 
+@_query
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What lenient reading could not keep of a file with ragged lines and bad values."""
+    base = scratch_dir(spark)
+    names = config.SOURCE_SCHEMA.names
+    rows = _source(spark, sf_dir)
+    bad = {
+        "age": F.when(F.col("id") % 5 == 2, F.lit("old")).otherwise(F.col("age").cast("string")),
+        "ca": F.when(F.col("id") % 13 == 3, F.lit("n/a")).otherwise(F.col("ca").cast("string")),
+    }
+    fields = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in names]
+    whole, short = F.concat_ws(",", *fields), F.concat_ws(",", *fields[:14])
+    line = (
+        F.when(F.col("id") % 7 == 0, F.concat(whole, F.lit(",surplus")))
+        .when(F.col("id") % 11 == 1, short)
+        .otherwise(whole)
+    )
+    # A single column that is named and filled like a whole line.
+    write_csv(rows.withColumns(bad).select(line.alias(",".join(names))), f"{base}/source", sep="\x01")
+    result = jobs.run_bronze(spark, f"{base}/source", base, source_file="orders", on_error="null")
+    lost = F.transform(F.map_entries(LOST), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return read_table(spark, base, config.REJECTS_TABLE).select(
+        "id",
+        F.col(MALFORMED).alias("line"),
+        F.array_join(F.array_sort(lost), ";").alias("lost"),
+        *[F.lit(n).cast("bigint").alias(name) for name, n in result.rejects.items()],
+    )
+
+
 @_query
 def csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact table exported as CSV and read back."""
+    """The fact table exported as sorted CSV files and read back."""
     base = scratch_dir(spark)
     fact = gold.fact_table(_clean(spark, sf_dir))
     write_table(fact, base, config.FACT_TABLE)
-    (path,) = jobs.export_csv(spark, base)
+    (path,) = jobs.export_csv(spark, base, in_order=True)
     return read_csv(spark, path, fact.schema)
 
 
@@ -317,6 +356,27 @@ def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_counts(jobs.stored_tables(spark, base))
 
 
+@_query
+def full_run_unsaved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV through all layers without storing any; the counts of what was made."""
+    source = f"{scratch_dir(spark)}/source"
+    write_csv(_source(spark, sf_dir), source)
+    result = jobs.run_all(spark, source, None, save=False, export=False, source_file="orders")
+    return result.record_counts(spark)
+
+
+@_query
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All layers as catalog tables; a second run finds them and leaves them as they are."""
+    base = scratch_dir(spark)
+    database = base.rpartition("/")[2].replace("-", "_")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{base}'")
+    first, again = (jobs.create_tables(_bronze(spark, sf_dir), database, base) for _ in range(2))
+    counts = table_counts({table: spark.table(f"{database}.{table}") for table in first})
+    written = F.create_map(*[F.lit(x) for table in first for x in (table, int(first[table]) + int(again[table]))])
+    return counts.withColumn("times_written", written[F.col("layer")])
+
+
 # --- the same operators on other tables -------------------------------------------
 
 LINEITEM_RULES = (

@@ -144,6 +144,29 @@ SELECT count(*) AS total_records,
   CAST(sum(CAST(NOT has_quality_issues AS INTEGER)) AS BIGINT) AS clean_records
 FROM """
 
+# Lines 0 modulo 7 have a field too many, others 1 modulo 11 two too few.
+_REJECTS = """
+SELECT id, line, lost, count(line) OVER () AS malformed_lines,
+  CAST(sum(bad_age + bad_ca) OVER () AS BIGINT) AS lost_values
+FROM (
+  SELECT id, bad_age, bad_ca,
+    CASE WHEN id % 7 = 0 THEN concat_ws(',', fields, ca, thal, num, 'surplus')
+      WHEN id % 11 = 1 THEN concat_ws(',', fields, ca) END AS line,
+    concat_ws(';', CASE bad_age WHEN 1 THEN 'age=old' END, CASE bad_ca WHEN 1 THEN 'ca=n/a' END) AS lost
+  FROM (
+    SELECT id, CAST(id % 5 = 2 AS INTEGER) AS bad_age, CAST(id % 13 = 3 AS INTEGER) AS bad_ca,
+      concat_ws(',', CAST(id AS VARCHAR), CASE WHEN id % 5 = 2 THEN 'old' ELSE coalesce(CAST(age AS VARCHAR), '') END,
+        {middle}) AS fields,
+      CASE WHEN id % 13 = 3 THEN 'n/a' ELSE coalesce(CAST(ca AS VARCHAR), '') END AS ca,
+      coalesce(thal, '') AS thal, coalesce(CAST(num AS VARCHAR), '') AS num
+    FROM source
+  )
+)
+WHERE line IS NOT NULL OR lost <> ''
+""".format(
+    middle=", ".join(f"coalesce(CAST({name} AS VARCHAR), '')" for name in config.SOURCE_SCHEMA.names[2:13])
+)
+
 # Queries over the layers above; each string follows the WITH clause.
 _LAYER_QUERIES = {
     "bronze_ingest": "SELECT * FROM bronze",
@@ -211,7 +234,10 @@ _LAYER_QUERIES = {
     "csv_loose_values": "SELECT * FROM source",
     "csv_roundtrip": "SELECT * FROM source",
     "csv_export": "SELECT * FROM fact",
+    "csv_rejects": _REJECTS,
     "full_run": _RECORD_COUNTS,
+    "full_run_unsaved": _RECORD_COUNTS,
+    "catalog_tables": f"SELECT *, 1 AS times_written FROM ({_RECORD_COUNTS})",
 }
 
 _TABLE_QUERIES = {

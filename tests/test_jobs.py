@@ -6,9 +6,18 @@ import pytest
 
 from checks.fixture import patients
 from triptych import config
-from triptych.operators import quality_stats, table_counts
+from triptych.operators import ordered, quality_stats, table_counts
 from triptych.plans import gold, jobs, silver, views
-from triptych.sources import read_csv, read_table, table_path, write_csv, write_table
+from triptych.sources import (
+    LOST,
+    manifest,
+    read_csv,
+    read_table,
+    stored_counts,
+    table_path,
+    write_csv,
+    write_table,
+)
 from tests.conftest import SPARK_ERRORS
 
 
@@ -78,13 +87,18 @@ def test_export_holds_the_fact_table_only_by_default(spark, full):
     assert rows(read_csv(spark, path, fact.schema)) == rows(fact)
 
 
-def test_single_file_export_is_sorted(spark, full, tmp_path):
-    tables = (config.SEVERITY_TABLE, config.DEMOGRAPHICS_TABLE)
-    paths = jobs.export_csv(spark, full.base, str(tmp_path), tables, single_file=True)
-    for table, path in zip(tables, paths):
-        stored = read_table(spark, full.base, table)
-        exported = [tuple(r) for r in read_csv(spark, path, stored.schema).collect()]
-        assert exported == [tuple(r) for r in gold.in_order(stored, table).collect()]
+@pytest.mark.parametrize("table", [config.SEVERITY_TABLE, config.DEMOGRAPHICS_TABLE, config.FACT_TABLE])
+def test_ordered_export_is_sorted_across_files(spark, full, tmp_path, table):
+    spark.conf.set("spark.sql.adaptive.enabled", False)  # else few rows make one file
+    try:
+        (path,) = jobs.export_csv(spark, full.base, str(tmp_path), [table], in_order=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    stored = read_table(spark, full.base, table)
+    files = sorted(map(str, Path(path).glob("part-*.csv")))
+    assert len(files) > 1
+    exported = [tuple(r) for file in files for r in read_csv(spark, file, stored.schema).collect()]
+    assert exported == [tuple(r) for r in ordered(stored, *gold.EXPORT_KEYS[table]).collect()]
 
 
 def test_export_layout_does_not_depend_on_the_rows(spark, tmp_path):
@@ -181,6 +195,92 @@ def test_errors_are_raised(spark, tmp_path):
     lenient = jobs.run_all(spark, str(bad), str(tmp_path / "base"), on_error="null")
     assert lenient.counts[config.SILVER_TABLE] == 1
     assert lenient.quality["null_critical_records"] == 1
+    assert lenient.rejects == {"malformed_lines": 0, "lost_values": 1, "lost_casts": 0}
+    (row,) = read_table(spark, str(tmp_path / "base"), config.REJECTS_TABLE).collect()
+    assert (row.id, row.age, row[LOST]) == (1, None, {"age": "?"})
+
+
+def test_rejects_of_an_earlier_run_go_with_it(spark, source, tmp_path):
+    bad = tmp_path / "bad.csv"
+    bad.write_text(",".join(config.SOURCE_SCHEMA.names) + "\n" + "1,2,surplus" + "," * 15 + "\n" + "2,3\n")
+    base = str(tmp_path / "base")
+    assert jobs.run_bronze(spark, str(bad), base, on_error="null").rejects == {"malformed_lines": 2, "lost_values": 0}
+    assert read_table(spark, base, config.REJECTS_TABLE).count() == 2
+    clean = jobs.run_bronze(spark, source, base, on_error="null")
+    assert clean.rejects == {"malformed_lines": 0, "lost_values": 0}
+    assert config.REJECTS_TABLE not in manifest(spark, base)
+
+
+def test_lenient_silver_counts_lost_casts(spark, tmp_path):
+    path = tmp_path / "big.csv"
+    path.write_text(",".join(config.SOURCE_SCHEMA.names) + "\n" + f"{2**40}" + "," * 15 + "\n" + "7" + "," * 15 + "\n")
+    base = str(tmp_path / "base")
+    result = jobs.run_all(spark, str(path), base, layer="silver", on_error="null")
+    assert result.rejects == {"malformed_lines": 0, "lost_values": 0, "lost_casts": 1}
+
+
+def test_run_without_saving(spark, source, full, tmp_path):
+    result = jobs.run_all(spark, source, None, save=False, export=False, source_file="key.csv")
+    assert (result.counts, result.quality) == (full.counts, full.quality)
+    assert not list(tmp_path.iterdir())
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+    with jobs.unsaved_run(spark, source, source_file="key.csv") as (tables, _):
+        clocks = ("ingestion_timestamp", "validation_timestamp", "created_at")
+        for table, stored in jobs.stored_tables(spark, full.base).items():
+            assert rows(tables[table].drop(*clocks)) == rows(stored.drop(*clocks))
+    with pytest.raises(ValueError):
+        jobs.run_all(spark, source, None, layer="silver", save=False)
+
+
+def test_export_of_an_unsaved_run(spark, source, full, tmp_path):
+    (path,) = jobs.run_all(spark, source, str(tmp_path), save=False, source_file="key.csv").exported
+    assert [p.name for p in tmp_path.iterdir()] == ["Export"]
+    fact = read_table(spark, full.base, config.FACT_TABLE)
+    assert rows(read_csv(spark, path, fact.schema).drop("created_at")) == rows(fact.drop("created_at"))
+
+
+def test_gold_becomes_current_at_once(spark, source, tmp_path, monkeypatch):
+    """Stopped after any number of gold tables are written, readers keep the old ones."""
+    base = str(tmp_path)
+    jobs.run_all(spark, source, base, export=False)
+    before = manifest(spark, base)
+    stage = jobs.stage_table
+    for stop_at in range(len(gold.BUILDERS)):
+        left = [stop_at]
+
+        def stopping(df, base, table):
+            if not left[0]:
+                raise KeyboardInterrupt
+            left[0] -= 1
+            return stage(df, base, table)
+
+        monkeypatch.setattr(jobs, "stage_table", stopping)
+        with pytest.raises(KeyboardInterrupt):
+            jobs.run_gold(spark, base, parallel=1)
+        assert manifest(spark, base) == before
+    monkeypatch.setattr(jobs, "stage_table", stage)
+    jobs.run_gold(spark, base)
+    after = manifest(spark, base)
+    assert all((after[t] == before[t]) == (t not in gold.BUILDERS) for t in before)
+
+
+def test_counts_come_from_the_commit(spark, full):
+    assert rows(stored_counts(spark, full.base)) == rows(full.record_counts(spark))
+
+
+def test_catalog_run_leaves_existing_tables(spark, bronze_rows, tmp_path):
+    spark.sql(f"CREATE DATABASE layers LOCATION '{tmp_path}'")
+    assert all(jobs.create_tables(bronze_rows, "layers", str(tmp_path)).values())
+    before = {t: spark.table(f"layers.{t}").count() for t in config.LAYER_PATHS}
+    again = jobs.create_tables(bronze_rows.filter("id < 100"), "layers", str(tmp_path))
+    assert not any(again.values())
+    assert {t: spark.table(f"layers.{t}").count() for t in config.LAYER_PATHS} == before
+    spark.sql(f"DROP TABLE layers.{config.SEVERITY_TABLE}")
+    once_more = jobs.create_tables(bronze_rows, "layers", str(tmp_path))
+    assert [t for t, written in once_more.items() if written] == [config.SEVERITY_TABLE]
+    replaced = jobs.create_tables(bronze_rows.filter("id < 100"), "layers", str(tmp_path), replace=True)
+    assert all(replaced.values()) and spark.table(f"layers.{config.BRONZE_TABLE}").count() == 100
+    spark.sql("DROP DATABASE layers CASCADE")
 
 
 def test_source_file_defaults_to_the_path(spark, source, tmp_path):

@@ -178,3 +178,9 @@ LAYER_PATHS = {
     CLINICAL_TABLE: "Gold/gold_clinical_metrics.parquet",
     FACT_TABLE: "Gold/gold_powerbi_fact_table.parquet",
 }
+
+# --- tables of its own ----------------------------------------------------------
+
+#: Lines and values that lenient reading could not keep; not a layer table.
+REJECTS_TABLE = "bronze_rejects"
+REJECTS_PATH = "Bronze/bronze_rejects.parquet"

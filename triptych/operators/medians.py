@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -21,23 +21,51 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: st
     return left.join(renamed, matches, how).drop(*[f"_right_{key}" for key in keys])
 
 
-def medians_by_measure(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+def _levels(df: DataFrame, columns: Sequence[str], ranges: Mapping[str, tuple[int, int]] | None) -> int:
+    """Levels of buckets that the widest column needs.
+
+    The type alone says two for int and four for bigint.  The range of the values says
+    less in most cases: a known one, or the observed one, from a pass that only takes
+    least and largest values.
+    """
+    by_type = -(-max(_VALUE_BITS[df.schema[column].dataType] for column in columns) // _LEVEL_BITS)
+    if by_type == 1:
+        return 1
+    unknown = [column for column in columns if column not in (ranges or {})]
+    widths = [high - low for column, (low, high) in (ranges or {}).items() if column in columns]
+    if unknown:
+        extremes = [F.struct(F.min(c).cast("bigint"), F.max(c).cast("bigint")) for c in unknown]
+        widths += [high - low for low, high in df.agg(*extremes).first() if low is not None]
+    bits = max(widths, default=0).bit_length()
+    return min(by_type, max(1, -(-bits // _LEVEL_BITS)))
+
+
+def medians_by_measure(
+    df: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    ranges: Mapping[str, tuple[int, int]] | None = None,
+) -> DataFrame:
     """keys, ``_measure`` (place in ``columns``) and ``_median`` of tinyint to bigint columns.
 
-    Groups without a value of a measure have no row for it.
+    Groups without a value of a measure have no row for it.  ``ranges`` are known least
+    and largest values of columns; without them they are observed.  They decide the plan,
+    never the result.
 
     No task ever holds a whole group.  Rows are counted per measure and value,
     combined on the map side, then per bucket of 65,536 neighbouring values, per
     65,536 neighbouring buckets and so on, until a group has at most 65,536 buckets
     at the top.  From there down, the bucket with the middle rows is opened level by
-    level.  Every ranking and every join thus sees at most 65,536 rows of a group,
-    however many rows or distinct values it has.
+    level.  Every ranking and every join thus sees at most some 65,536 rows of a group,
+    however many rows or distinct values it has.  Where all values lie within 65,536 of
+    each other, the counts per value are the only level: a dense histogram per group and
+    measure, merged in one shuffle.
     """
     kinds = [df.schema[column].dataType for column in columns]
     for column, kind in zip(columns, kinds):
         if kind not in _VALUE_BITS:
             raise ValueError(f"median of {column}: {kind.simpleString()} is no whole-number type")
-    levels = -(-max(_VALUE_BITS[kind] for kind in kinds) // _LEVEL_BITS)
+    levels = _levels(df, columns, ranges)
 
     # Unlike unpivot, stack leaves plans that Spark finds equal, so the counts are shared.
     cells: list[Column] = []

@@ -19,13 +19,15 @@ def measure_metrics(
     averages: Mapping[str, str] | None = None,
     maxima: Mapping[str, str] | None = None,
     conditional_counts: Mapping[str, str | Column] | None = None,
+    ranges: Mapping[str, tuple[int, int]] | None = None,
 ) -> DataFrame:
     """Per group: rows, then ``avg_x, min_x, max_x, median_x`` of each measure.
 
     ``measures`` maps the suffix ``x`` to a column of a whole-number type, tinyint to
     bigint; several suffixes may name the same column.  ``averages``, ``maxima`` and
     ``conditional_counts`` (output name -> column or condition) add aggregates that
-    need no median.  Without keys the whole table is one group.
+    need no median.  Without keys the whole table is one group.  ``ranges`` are known
+    least and largest values of measures, which spare the medians a look at the data.
 
     All but the medians is one ordinary aggregation.  The medians of all measures
     come from one more pass that never gathers a group (see ``medians_by_measure``).
@@ -48,7 +50,7 @@ def measure_metrics(
     def median(column: str) -> Column:
         return F.when(F.col("_measure") == columns.index(column), F.col("_median"))
 
-    medians = medians_by_measure(df, keys, columns).select(
+    medians = medians_by_measure(df, keys, columns, ranges).select(
         *keys, *[median(column).alias(f"median_{suffix}") for suffix, column in measures.items()]
     )
     outputs = [count]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,6 +22,16 @@ def table_counts(
     )
 
 
+def known_counts(
+    spark: SparkSession, counts: Mapping[str, int], name: str = "layer", count: str = "record_count"
+) -> DataFrame:
+    """The same rows from counts that are known; reads nothing."""
+    rows = [F.struct(F.lit(label).alias(name), F.lit(n).cast("bigint").alias(count)) for label, n in counts.items()]
+    if not rows:
+        return spark.createDataFrame([], f"{name} string, {count} bigint")
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
+
+
 def quality_stats(validated: DataFrame, flag: str = "has_quality_issues") -> DataFrame:
     """Total, flagged and clean rows in one row; the sums are null without input."""
     issues = F.sum(F.when(F.col(flag), 1).otherwise(0))

@@ -20,14 +20,13 @@ def share_of_total(
 ) -> DataFrame:
     """Rows per group and their rounded percentage of all rows.
 
-    The total is a scalar subquery, not a window over all groups: a window
-    without partitions would move every group into one task.  It reads no
-    columns, so on a stored Parquet table it costs only the file footers.
+    The total is a scalar subquery over the grouped rows, not a window, which would move
+    every group into one task.  It uses every aggregate, so its grouping is the same plan
+    as the groups' own: both share one scan and one shuffle, and what the total reads is
+    a row per group.
     """
     rows = F.count(F.lit(1))
-    total = df.agg(rows).scalar()
-    return (
-        df.groupBy(*keys)
-        .agg(rows.alias(count), *aggregates)
-        .withColumn(share, percent_of(F.col(count), total))
-    )
+    grouped = df.groupBy(*keys).agg(rows.alias(count), *aggregates)
+    used = F.count(F.struct(*grouped.columns)).alias("_used")
+    total = grouped.agg(F.struct(F.sum(count).alias("total"), used).alias("t")).scalar()
+    return grouped.withColumn(share, percent_of(F.col(count), total.getField("total")))

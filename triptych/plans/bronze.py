@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from triptych.operators import count_with_distinct
+
 
 def with_audit(source: DataFrame, source_file: str | None = None) -> DataFrame:
     """Add when and from where each row came.
@@ -20,10 +22,13 @@ def with_audit(source: DataFrame, source_file: str | None = None) -> DataFrame:
     )
 
 
-def stats(bronze: DataFrame, id_column: str = "id") -> DataFrame:
-    """Rows, distinct ids and first ingestion time, in one row."""
-    return bronze.agg(
-        F.count(F.lit(1)).alias("Total_Records"),
-        F.count_distinct(id_column).alias("Unique_Patients"),
-        F.min("ingestion_timestamp").alias("Ingestion_Time"),
+def stats(bronze: DataFrame, id_column: str = "id", *, dense: bool | None = None) -> DataFrame:
+    """Rows, distinct ids and first ingestion time, in one row; see ``count_with_distinct``."""
+    return count_with_distinct(
+        bronze,
+        id_column,
+        "Unique_Patients",
+        rows="Total_Records",
+        minima={"Ingestion_Time": "ingestion_timestamp"},
+        dense=dense,
     )

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triptych import config
+from triptych.config import RangeRule
 from triptych.functions import additive_score, label_by_value, percent_of
 from triptych.operators import measure_metrics, ordered, share_of_total
 
@@ -90,8 +91,13 @@ def severity_distribution(
     ).transform(_stamped)
 
 
-def clinical_metrics(silver: DataFrame) -> DataFrame:
-    """Spread of the clinical measures by site and sex."""
+def clinical_metrics(
+    silver: DataFrame, rules: Sequence[RangeRule] = config.RANGE_RULES
+) -> DataFrame:
+    """Spread of the clinical measures by site and sex.
+
+    Clean rows keep the ``rules``, so the ranges of the measures are known.
+    """
     return measure_metrics(
         silver,
         ["dataset", "sex"],
@@ -107,6 +113,7 @@ def clinical_metrics(silver: DataFrame) -> DataFrame:
             "high_fasting_sugar_count": "fasting_blood_sugar_high",
             "exercise_angina_count": "exercise_induced_angina",
         },
+        ranges={rule.column: (int(rule.low), int(rule.high)) for rule in rules},
     ).transform(_stamped)
 
 
@@ -157,6 +164,9 @@ SORT_KEYS: dict[str, tuple[str, ...]] = {
     config.CLINICAL_TABLE: ("dataset", "sex"),
 }
 
+#: For exports, where every row has a place.
+EXPORT_KEYS = {**SORT_KEYS, config.FACT_TABLE: ("patient_id",)}
+
 
 def in_order(df: DataFrame, table: str) -> DataFrame:
     """A gold table in its reading order; the fact table has none."""

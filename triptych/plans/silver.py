@@ -7,6 +7,8 @@ whole layer is one pass over bronze.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +46,18 @@ def typed(
     )
 
 
+def lost_casts(
+    bronze: DataFrame, columns: Sequence[tuple[str, str, str]] = config.SILVER_COLUMNS
+) -> Column:
+    """How many values the lenient casts of ``typed`` turn into null, as an aggregate."""
+    types = {field.name.lower(): field.dataType for field in bronze.schema.fields}
+    lost = [
+        (F.col(source).isNotNull() & to_type(F.col(source), types[source.lower()], target, "null").isNull()).cast("int")
+        for source, _, target in columns
+    ]
+    return F.coalesce(F.sum(reduce(add, lost)), F.lit(0)).cast("bigint")
+
+
 def standardized(
     df: DataFrame,
     sex_aliases: Sequence[tuple[str, Sequence[str]]] = config.SEX_ALIASES,

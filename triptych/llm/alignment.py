@@ -20,6 +20,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -192,11 +193,25 @@ class TokenizerPair:
     def _encode_parts(self, parts: list[str]) -> None:
         """Learn the ids of parts; each stands for a blank and its text."""
         found = self.a.encode_batch_fast([f" {part}" for part in parts], add_special_tokens=False)
-        for part, x, y in zip(parts, found, self.b.encode(parts, num_threads=1), strict=True):
-            x, data = x.ids, f" {part}".encode()
-            self.a_of[part], self.b_of[part] = np.array(x, "<u2").tobytes(), np.array(y, "<u2").tobytes()
-            if b"".join(map(self.a_bytes.__getitem__, x)) != data or b"".join(map(self.b_bytes.__getitem__, y)) != data:
-                self.differing.add(part)
+        wanted = [f" {part}".encode() for part in parts]
+        for ids, of, table, lengths in (
+            ([x.ids for x in found], self.a_of, self.a_bytes, self.a_lengths),
+            (self.b.encode(parts, num_threads=1), self.b_of, self.b_bytes, self.b_lengths),
+        ):
+            every = list(chain.from_iterable(ids))
+            ends = np.cumsum([len(x) for x in ids])
+            flat = np.array(every, "<u2")
+            data, edges = flat.tobytes(), [0, *(2 * ends).tolist()]
+            of.update((part, data[x:y]) for part, x, y in zip(parts, edges[:-1], edges[1:], strict=True))
+            # All parts at once: the same bytes, and as many in each part.
+            sums = np.concatenate([[0], np.cumsum(lengths[flat])])[ends]
+            as_long = np.array_equal(sums, np.cumsum([len(x) for x in wanted]))
+            if not (as_long and b"".join(map(table.__getitem__, every)) == b"".join(wanted)):
+                self.differing.update(
+                    part
+                    for part, x, own in zip(parts, ids, wanted, strict=True)
+                    if b"".join(map(table.__getitem__, x)) != own
+                )
 
     def _parts(self, text: str) -> list[str]:
         """``text`` cut at blanks that no token crosses; parts that are not known yet may be new."""

@@ -6,7 +6,7 @@ counted by direct address (one dense array, one ``bincount``), the others are so
 lists of cells.  Frequent pairs are numbered by frequency again and take the place of
 words, so that two overlapping pairs make a phrase of three words, and so on.
 
-Blocks of whole texts count their own cells and send them, packed, to buckets of cells;
+Blocks of whole texts count their own words and cells and send them, packed, to buckets;
 from these they learn the numbers of the ones that are frequent in the corpus.
 """
 
@@ -17,6 +17,8 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +38,9 @@ _TILE = 512
 _CELLS_PER_PAIR = 16
 #: Pairs of neighbours in the corpus for each bucket that their totals are counted in.
 _PAIRS_PER_BUCKET = 1_000_000
+_WORDS_PER_BUCKET = 500_000
+#: Between language and word; no word contains it.
+_BETWEEN = "\t"
 
 
 def _bytes_in(characters: str) -> np.ndarray:
@@ -102,9 +107,10 @@ def _blocks(rows: DataFrame, block_words: int) -> DataFrame:
     """lang and text to blocks of whole texts.
 
     ``tokens`` are places in the block's own list of words, most frequent first, from
-    1; a 0 stands between pieces of text.
+    1; a 0 stands between pieces of text.  ``keys`` are language and word, ``sizes`` the
+    words of each language.
     """
-    names = ["block", "tokens", "words", "langs", "counts"]
+    names = ["block", "tokens", "keys", "counts", "langs", "sizes"]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -120,13 +126,18 @@ def _blocks(rows: DataFrame, block_words: int) -> DataFrame:
             place = np.empty(len(order), np.int64)
             place[order] = np.arange(1, len(order) + 1)
             ends = np.flatnonzero(np.concatenate(piece_ends)) + 1
-            first = pa.array(first[order])
+            first = first[order]
+            lang_of = np.concatenate(lang_of)[first]
+            names_of = pa.array(langs).take(pa.array(lang_of))
+            words = pa.concat_arrays(words).take(pa.array(first))
+            sizes_of = np.bincount(lang_of, counts[order], len(langs)).astype(np.int64)
             columns = [
                 pa.array([number], pa.int64()),
                 pa.array([packed(np.insert(place[token], ends, 0))], pa.binary()),
-                pa.array([pa.concat_arrays(words).take(first).to_pylist()], pa.list_(pa.string())),
-                pa.array([pa.array(langs).take(pa.concat_arrays(lang_of).take(first)).to_pylist()], pa.list_(pa.string())),
+                pa.array([pc.binary_join_element_wise(names_of, words, _BETWEEN).to_pylist()], pa.list_(pa.string())),
                 pa.array([counts[order]], pa.list_(pa.int64())),
+                pa.array([langs], pa.list_(pa.string())),
+                pa.array([sizes_of], pa.list_(pa.int64())),
             ]
             return pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -145,7 +156,7 @@ def _blocks(rows: DataFrame, block_words: int) -> DataFrame:
                 text = _LOWER[data].tobytes()
                 words = [text[i:j].decode() for i, j in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
                 piece_end = np.append(piece[1:] != piece[:-1], True)
-                parts.append((keys, pa.array(words, pa.string()), pa.array(lang_of[at]), token, piece_end))
+                parts.append((keys, pa.array(words, pa.string()), lang_of[at], token, piece_end))
                 held += len(hashes)
                 if held >= block_words:
                     yield flush(parts, list(langs))
@@ -153,24 +164,138 @@ def _blocks(rows: DataFrame, block_words: int) -> DataFrame:
         if parts:
             yield flush(parts, list(langs))
 
-    schema = "block bigint, tokens binary, words array<string>, langs array<string>, counts array<bigint>"
+    schema = "block bigint, tokens binary, keys array<string>, counts array<bigint>, langs array<string>, sizes array<bigint>"
     return rows.mapInArrow(build, schema)
 
 
-def _named(blocks: DataFrame, numbered: DataFrame) -> DataFrame:
+def _asked_words(blocks: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, block, places, lengths, keys): per block and bucket its words and their counts."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, keys, counts in zip(*batch.columns, strict=True):
+                keys, counts = keys.values, counts.values.to_numpy()
+                data, offsets = next((d, o) for _, _, d, o in text_slices(keys, 1 << 62))
+                bucket = _of_buckets(_text_hashes(data, offsets), buckets)
+                order = np.argsort(bucket, kind="stable")
+                edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                used = np.flatnonzero(np.diff(edges))
+                lengths, ordered = np.diff(offsets)[order], keys.take(pa.array(order))
+                ends = np.concatenate([[0], np.cumsum(lengths)])
+                text = ordered.buffers()[2].to_pybytes()
+                numbers, texts = [], []
+                for b in used:
+                    i, j = edges[b], edges[b + 1]
+                    numbers.append(packed(order[i:j], lengths[i:j], counts[order[i:j]]))
+                    texts.append(zstandard.compress(text[ends[i] : ends[j]], 1))
+                columns = [pa.array(used), pa.array(np.full(len(used), block.as_py()))]
+                columns += [pa.array(x, pa.binary()) for x in (numbers, texts)]
+                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "numbers", "keys"])
+
+    schema = "bucket bigint, block bigint, numbers binary, keys binary"
+    return blocks.select("block", "keys", "counts").mapInArrow(ask, schema)
+
+
+def _text_hashes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    powers, inverses = _powers_up_to(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE_VALUE[data] * powers[: len(data)], out=sums[1:])
+    return mix((sums[offsets[1:]] - sums[offsets[:-1]]) * inverses[offsets[:-1]])
+
+
+def _of_buckets(key: np.ndarray, buckets: int) -> np.ndarray:
+    return (((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
+def _counted_words(asked: DataFrame, min_count: int) -> DataFrame:
+    """Per bucket its frequent words and their counts, and per block which of them it has, at which places."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket, parts in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                numbers = [unpacked(part["numbers"], 3).astype(np.int64) for part in parts]
+                _, lengths, n = np.concatenate(numbers, axis=1)
+                offsets = np.concatenate([[0], np.cumsum(lengths)])
+                text = b"".join(zstandard.decompress(part["keys"]) for part in parts)
+                keys = pa.LargeStringArray.from_buffers(len(n), pa.py_buffer(offsets), pa.py_buffer(text))
+                keys = keys.dictionary_encode()
+                word = keys.indices.to_numpy()
+                counts = np.bincount(word, n).astype(np.int64)
+                frequent = counts >= min_count
+                index = np.cumsum(frequent) - 1
+                has, at = [], 0
+                for part, (place, *_) in zip(parts, numbers, strict=True):
+                    own = word[at : at + len(place)]
+                    at += len(place)
+                    hit = frequent[own]
+                    if hit.any():
+                        has.append({"block": part["block"], "has": packed(place[hit], index[own[hit]])})
+                columns = [
+                    pa.array([bucket], pa.int64()),
+                    pa.array([keys.dictionary.filter(pa.array(frequent)).to_pylist()], pa.list_(pa.string())),
+                    pa.array([counts[frequent]], pa.list_(pa.int64())),
+                    pa.array([has], _HAS),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "keys", "counts", "blocks"])
+
+    return (
+        asked.groupBy("bucket")
+        .agg(F.collect_list(F.struct("block", "numbers", "keys")).alias("parts"))
+        .mapInArrow(
+            count,
+            "bucket bigint, keys array<string>, counts array<bigint>, blocks array<struct<block:bigint,has:binary>>",
+        )
+    )
+
+
+_HAS = pa.list_(pa.struct([("block", pa.int64()), ("has", pa.binary())]))
+
+
+def _frequent_words(counted: DataFrame) -> DataFrame:
+    """(bucket, place, lang, words, a, firsts, rests) of all frequent words."""
+    none = F.array().cast("array<bigint>")
+    key = F.col("w.keys")
+    word = F.substring_index(key, _BETWEEN, -1)  # no word has the separator
+    return counted.select(
+        "bucket", F.posexplode(F.arrays_zip("keys", "counts")).alias("place", "w")
+    ).select(
+        "bucket",
+        F.col("place").cast("bigint").alias("place"),
+        F.substr(key, F.lit(1), F.length(key) - F.length(word) - 1).alias("lang"),
+        F.array(word).alias("words"),
+        F.col("w.counts").alias("a"),
+        none.alias("firsts"),
+        none.alias("rests"),
+    )
+
+
+def _named(blocks: DataFrame, counted: DataFrame, numbered: DataFrame) -> DataFrame:
     """Blocks from words to their numbers; none for rare words and between pieces."""
-    words = blocks.select("block", F.posexplode(F.arrays_zip("langs", "words")).alias("place", "w"))
-    asked = words.select("block", (F.col("place") + 1).cast("bigint").alias("place"), "w.langs", "w.words")
-    # Merged at every size: also where few words would fit a broadcast, the plan stays.
-    known = numbered.select(F.col("lang").alias("langs"), F.col("words")[0].alias("words"), "id")
-    found = asked.join(known.hint("merge"), ["langs", "words"])
-    answers = gathered(found.select("block", "place", "id"))
+    ids = gathered(numbered.select(F.col("bucket").alias("block"), "place", "id"))
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for owners, found in zip(*batch.columns, strict=True):
+                index, number = answer_columns(found, 2)
+                numbers = number[np.argsort(index)]
+                block, data = [], []
+                for part in owners.as_py():
+                    place, own = unpacked(part["has"], 2).astype(np.int64)
+                    block.append(part["block"])
+                    data.append(packed(place + 1, numbers[own]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(block, pa.int64()), pa.array(data, pa.binary())], names=["block", "data"]
+                )
+
+    per_bucket = counted.select("bucket", "blocks").join(ids.withColumnRenamed("block", "bucket"), "bucket")
+    answered = per_bucket.select("blocks", "answers").mapInArrow(answer, "block bigint, data binary")
+    answers = answered.groupBy("block").agg(F.collect_list("data").alias("answers"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, tokens, answer in zip(*batch.columns, strict=True):
+            for block, tokens, found in zip(*batch.columns, strict=True):
                 tokens = unpacked(tokens.as_py(), 1)[0].astype(np.int64)
-                place, number = answer_columns(answer, 2)
+                place, number = answer_columns(found, 2)
                 table = np.full(int(tokens.max()) + 1, -1)
                 table[place] = number
                 yield _gram_row(block.as_py(), table[tokens] + 1)
@@ -197,8 +322,7 @@ def _pairs_of(grams: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 
 
 def _bucket(prefix: np.ndarray, suffix: np.ndarray, buckets: int) -> np.ndarray:
-    key = mix(mix(prefix.astype(np.uint64)) ^ suffix.astype(np.uint64))
-    return (((key >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+    return _of_buckets(mix(mix(prefix.astype(np.uint64)) ^ suffix.astype(np.uint64)), buckets)
 
 
 def _asked(grams: DataFrame, buckets: int) -> DataFrame:
@@ -228,8 +352,6 @@ def _asked(grams: DataFrame, buckets: int) -> DataFrame:
 
 def _counted(asked: DataFrame, min_count: int) -> DataFrame:
     """Per bucket its frequent pairs (prefix, suffix, count), and per block which of them it has."""
-    kind = pa.list_(pa.struct([("block", pa.int64()), ("has", pa.binary())]))
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for bucket, parts in zip(*(column.to_pylist() for column in batch.columns), strict=True):
@@ -254,7 +376,7 @@ def _counted(asked: DataFrame, min_count: int) -> DataFrame:
                 columns = [
                     pa.array([bucket], pa.int64()),
                     pa.array([packed(prefix[first], suffix[first], counts[frequent])], pa.binary()),
-                    pa.array([has], kind),
+                    pa.array([has], _HAS),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["bucket", "pairs", "blocks"])
 
@@ -431,18 +553,14 @@ def collocations(
     store = Store(docs.sparkSession)
     rows = docs.select(F.coalesce("lang", F.lit(UNKNOWN_LANGUAGE)).alias("lang"), "text")
     blocks = store.save(_blocks(rows, block_words), "blocks")
-    listed = blocks.select(F.inline(F.arrays_zip("langs", "words", "counts")))
-    sizes = store.save(listed.groupBy(F.col("langs").alias("lang")).agg(F.sum("counts").alias("n")), "sizes")
-    none = F.array().cast("array<bigint>")
-    words = (
-        listed.groupBy(F.col("langs").alias("lang"), F.array("words").alias("words"))
-        .agg(F.sum("counts").alias("a"))
-        .filter(F.col("a") >= min_count)
-        .withColumns({"firsts": none, "rests": none})
-    )
-    levels = [_numbered(words, store, "1")]
-    grams = store.save(_named(blocks, levels[0]), "grams1")
-    store.drop("blocks", "ordered1")
+    listed = blocks.select(F.inline(F.arrays_zip("langs", "sizes")))
+    sizes = store.save(listed.groupBy(F.col("langs").alias("lang")).agg(F.sum("sizes").alias("n")), "sizes")
+    asked = blocks.agg(F.sum(F.size("keys"))).first()[0] or 0
+    counted = store.save(_counted_words(_asked_words(blocks, max(1, asked // _WORDS_PER_BUCKET)), min_count), "counted1")
+    store.release()
+    levels = [_numbered(_frequent_words(counted), store, "1")]
+    grams = store.save(_named(blocks, counted, levels[0]), "grams1")
+    store.drop("blocks", "counted1", "ordered1")
     store.release()
     for length in range(2, max_words + 1):
         pairs = grams.agg(F.sum("pairs")).first()[0] or 0

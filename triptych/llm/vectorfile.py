@@ -13,16 +13,15 @@ queries, both of bounded size, multiplied as matrices.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from triptych.llm.store import Store
+from triptych.llm.store import Store, few_records_a_batch
 
 _ROWS_PER_BLOCK = 4096
 _QUERIES_PER_BLOCK = 1024
@@ -32,18 +31,6 @@ _HELD = 2_000_000
 _LARGEST_SQUARE = 2.0**62
 
 
-@contextmanager
-def _few_records_a_batch(spark: SparkSession, records: int) -> Iterator[None]:
-    """Rows that are blocks reach Python a few at a time."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, records)
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def _binaries(matrix: np.ndarray) -> pa.Array:
     """Every row of a matrix as one binary value."""
     matrix = np.ascontiguousarray(matrix)
@@ -377,7 +364,7 @@ def top_products(
     cells = store.save(_cell_blocks(vectors, grid), "cells")
     sizes = (vectors.count(), asked.count())
     store.release()
-    with _few_records_a_batch(spark, _BLOCKS_PER_BATCH):
+    with few_records_a_batch(spark, _BLOCKS_PER_BATCH):
         scanned = _scanned(cells, _query_blocks(asked, dims), grid, most, sizes, query_memory)
         candidates = store.save(scanned, "candidates")
     store.release()

@@ -5,6 +5,9 @@ that differ in d bits at most, so a Hamming distance is a lower bound.  Divided
 d + 1 bands by the shingle's hash, two such sets agree in one whole band at least
 (pigeonhole).  Documents meet by equal bands within size classes; every
 candidate is verified on the sets themselves, so the join is exact.
+
+Sketches have a fixed part and, for larger sets, one as wide as the set: a sketch much
+narrower than the difference of two sets is half full and tells nothing.
 """
 
 from __future__ import annotations
@@ -19,12 +22,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triptych.llm.components import components
-from triptych.llm.store import Store
+from triptych.llm.store import Store, chosen_rows, few_records_a_batch, other_rows
 from triptych.llm.words import mix, text_slices, word_hashes
 
 _SKETCH_WORDS = 8
+#: Larger sets also have a wide sketch, of a power of two of words with 2 to 4 bits a shingle.
+_WIDE_FROM = 512
 _MOST_NEEDED = 4
-_KEYS_TOGETHER = 2_000_000
+_KEYS_TOGETHER = 500_000
+#: Pairs of whole sets that a task holds at a time.
+_PAIRS_TOGETHER = 200
 
 
 @dataclass(frozen=True)
@@ -144,9 +151,23 @@ def band_keys(values: np.ndarray, starts: np.ndarray, like: Likeness) -> tuple[n
     return np.concatenate(texts), np.concatenate(keys)
 
 
+def _wide_sketch(values: np.ndarray) -> np.ndarray | None:
+    """Parities of a larger set in bits of their own; None for a small set.
+
+    A bit's place are the low bits of a hash, so a sketch of twice the width turns
+    into one of this width when its halves are put together by XOR.
+    """
+    if len(values) <= _WIDE_FROM:
+        return None
+    words = 1 << (len(values) // 32 - 1).bit_length()
+    place = (values >> np.uint64(8)) & np.uint64(64 * words - 1)
+    odd = np.bincount(place.astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def _describe(texts: DataFrame, like: Likeness) -> DataFrame:
-    """_row, text and _id to _row, _id, n, a 128-bit digest of the set, its sketch and number of bands."""
-    names = ["_row", "_id", "n", "d1", "d2", *[f"s{i}" for i in range(_SKETCH_WORDS)], "bands"]
+    """_row, text and _id to _row, _id, n, a 128-bit digest of the set, its sketches and number of bands."""
+    names = ["_row", "_id", "n", "d1", "d2", *[f"s{i}" for i in range(_SKETCH_WORDS)], "wide", "bands"]
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,14 +185,17 @@ def _describe(texts: DataFrame, like: Likeness) -> DataFrame:
                 for i in range(_SKETCH_WORDS):
                     np.bitwise_xor.accumulate(np.where(word == i, bit, np.uint64(0)), out=sums[2, 1:])
                     sketch.append(sums[2, starts[1:]] ^ sums[2, starts[:-1]])
+                wide = [_wide_sketch(values[a:b]) for a, b in zip(starts[:-1], starts[1:], strict=True)]
                 text, _ = band_keys(values, starts, like)
                 bands = np.bincount(text, minlength=end - first)
                 columns = [batch.column(i).slice(first, end - first) for i in (0, 2)]
                 columns.append(pa.array(sizes, pa.int64()))
                 columns += [pa.array(x.view(np.int64)) for x in (d1, d2, *sketch)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(bands, pa.int64())], names=names)
+                columns += [pa.array(wide, pa.list_(pa.int64())), pa.array(bands, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return texts.mapInArrow(describe, ", ".join(f"{name} bigint" for name in names))
+    types = {"wide": "array<bigint>"}
+    return texts.mapInArrow(describe, ", ".join(f"{name} {types.get(name, 'bigint')}" for name in names))
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -315,147 +339,194 @@ def _sets(texts: DataFrame, like: Likeness) -> DataFrame:
 _SKETCH = tuple(f"s{i}" for i in range(_SKETCH_WORDS))
 
 
+def _apart(x: Column, y: Column) -> Column:
+    """Bits in which two wide sketches differ; the wider one is folded to the other's width."""
+
+    def halved(sketch: Column) -> Column:
+        half = (F.size(sketch) / 2).cast("int")
+        return F.zip_with(F.slice(sketch, 1, half), F.slice(sketch, half + 1, half), lambda a, b: a.bitwiseXOR(b))
+
+    # Like sets differ by less than a factor of two in size, and so do their sketches.
+    x, y = F.when(F.size(x) > F.size(y), halved(x)).otherwise(x), F.when(F.size(y) > F.size(x), halved(y)).otherwise(y)
+    bits = F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    return F.aggregate(bits, F.lit(0), lambda total, n: total + F.coalesce(n, F.lit(0)))
+
+
 def _may_be_alike(like: Likeness, left: str, right: str) -> Column:
     """Sizes near enough, and sketches within the bound; never false for like sets."""
     n, m = F.col(f"{left}.n"), F.col(f"{right}.n")
-    near = (F.least(n, m) * like.denominator >= F.greatest(n, m) * like.numerator)
+    near = F.least(n, m) * like.denominator >= F.greatest(n, m) * like.numerator
     distance = sum(F.bit_count(F.col(f"{left}.{s}").bitwiseXOR(F.col(f"{right}.{s}"))) for s in _SKETCH)
-    return near & (distance <= like.apart(n + m))
-
-
-def _open_rows(shared: DataFrame, root: DataFrame) -> DataFrame:
-    """Rows of the bands that touch several components: with root, and the band's largest as main."""
-    placed = shared.join(root.withColumnRenamed("node", "rid"), "rid", "left").select(
-        "key", "rid", F.coalesce("root", "rid").alias("root")
-    )
-    mixed = (
-        placed.groupBy("key", "root")
-        .count()
-        .groupBy("key")
-        .agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
-        .filter("roots > 1")
-    )
-    return placed.join(mixed.select("key", "main"), "key")
+    bound = like.apart(n + m)
+    x, y = F.col(f"{left}.wide"), F.col(f"{right}.wide")
+    either_is_small = x.isNull() | y.isNull() | (F.greatest(n, m) >= 2 * F.least(n, m))
+    return near & (distance <= bound) & (either_is_small | (_apart(x, y) <= bound))
 
 
 def _compatible(pairs: DataFrame, sketches: DataFrame, like: Likeness) -> DataFrame:
-    """The pairs (a, b) that size and sketch do not rule out."""
+    """The pairs (a, b) that size and sketches do not rule out."""
     both = pairs.join(sketches.withColumnRenamed("rid", "a").alias("x"), "a").join(
         sketches.withColumnRenamed("rid", "b").alias("y"), "b"
     )
     return both.filter(_may_be_alike(like, "x", "y")).select("a", "b")
 
 
+class _Linker:
+    """Links found so far, and the components they make."""
+
+    def __init__(self, sets: DataFrame, like: Likeness, store: Store) -> None:
+        self.sets, self.like, self.store = sets, like, store
+        self.links: DataFrame | None = None
+        self.root: DataFrame | None = None
+        self.rounds = 0
+
+    def verify(self, pairs: DataFrame) -> None:
+        """Add the pairs that are alike; pairs are (a, b) with a above b, each once."""
+        name = f"{self.rounds}"
+        self.rounds += 1
+        with few_records_a_batch(self.store.spark, _PAIRS_TOGETHER):
+            new = self.store.save(_verified(pairs, self.sets, self.like), f"links{name}")
+        self.store.release()
+        if self.links is not None and new.isEmpty():
+            return
+        self.links = new if self.links is None else self.links.unionAll(new)
+        self.root = components(self.links, self.store, f"roots{name}_")
+        self.store.release()
+
+    def with_roots(self, rows: DataFrame, column: str, name: str) -> DataFrame:
+        root = self.root.select(F.col("node").alias(column), F.col("root").alias(name))
+        return rows.join(root, column, "left").withColumn(name, F.coalesce(name, column))
+
+    def apart(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that no links connect yet."""
+        placed = self.with_roots(self.with_roots(pairs, "a", "_of_a"), "b", "_of_b")
+        return placed.filter("_of_a != _of_b").drop("_of_a", "_of_b")
+
+
 def near_duplicates(rows: DataFrame, like: Likeness, store: Store) -> DataFrame:
-    """Groups of a stored table ``rows`` (_row, _id, text).
+    """Groups of ``rows`` (``_doc`` with doc_id and text), a table of ``Store.save_rows``.
 
     Returns _row, _id, n (shingles), ``root`` (a number that names the group) and
     ``component``, the smallest _id that links reach, itself included.  A null text is empty; rows without words are linked
     with nothing; rows with equal sets are one node.  A null id never names a
     component unless all ids of it are null.  An empty table gives an empty result.
 
-    1. Rows that share a band with others are found, in packed blocks.
-    2. Every one is compared with the first of its band; links give components.
+    Only the first row of equal sets goes on.  Rows that share a band are told apart in
+    packed blocks: each is paired with the first row of its band.
+
+    1. Every row is compared with the one it shares most bands with.
+    2. Of the other pairs, those that no link connects yet are compared.
     3. In bands whose rows are still in several components, every row is compared
        with the band's most central one, which meets most others in all its bands:
        of near copies, the one with the fewest changes.
     4. Where that leaves several components, the rows outside a band's largest one
-       are compared with all rows of other components.  After this no like pair is
-       left untested or unconnected.
+       are compared with rows of other components, as far as sizes and sketches leave a
+       doubt.  After this no like pair is left untested or unconnected.
 
-    The bands of one large group of near copies are thus settled by about twice as
-    many comparisons as they have rows; pairs within a component are never listed.
+    One large group of near copies is thus connected by about as many comparisons as it
+    has rows; pairs within a component are never listed.
     """
-    texts = rows.select("_row", "text", "_id")
-    described = store.save(_describe(texts, like), "described")
-    total = described.agg(F.sum("bands")).first()[0] or 0
+    texts = rows.select("_row", "_chunk", F.col("_doc.text").alias("text"), F.col("_doc.doc_id").cast("bigint").alias("_id"))
+    described = store.save(_describe(texts.select("_row", "text", "_id"), like), "described")
     digest = ["d1", "d2", "n"]
     with_words = described.filter("n > 0")
+    kept = [*_SKETCH, "wide", "bands"]
     nodes = store.save(
-        with_words.groupBy(*digest).agg(F.min("_row").alias("rid"), *[F.first(s).alias(s) for s in _SKETCH]),
+        with_words.groupBy(*digest).agg(F.min_by(F.struct("_row", *kept), "_row").alias("first")).select(*digest, "first.*"),
         "nodes",
     )
-    sketches = nodes.select("rid", "n", *_SKETCH)
-    node_of = store.save(
-        with_words.select("_row", "_id", *digest)
-        .join(nodes.select(*digest, "rid"), digest)
-        .select("_row", "_id", "rid"),
-        "node_of",
-    )
-    blocks = store.save(_band_blocks(texts, like, max(1, total * 2 // _KEYS_TOGETHER)), "blocks")
-    found = store.save(_members(blocks), "found")
+    total = nodes.agg(F.sum("bands")).first()[0] or 0
+    sketches = nodes.select(F.col("_row").alias("rid"), "n", *_SKETCH, "wide")
+    first_rows = chosen_rows(texts, nodes).select("_row", "text")
+    blocks = store.save(_band_blocks(first_rows, like, max(1, total * 2 // _KEYS_TOGETHER)), "blocks")
     store.release()
-
-    members = store.save(
-        found.join(node_of.select(F.col("_row").alias("row"), "rid"), "row")
-        .join(node_of.select(F.col("_row").alias("head"), F.col("rid").alias("hid")), "head")
-        .select("key", "rid", "hid")
-        .distinct(),
-        "members",
+    with few_records_a_batch(store.spark, 4):
+        members = store.save(
+            _members(blocks).select("key", F.col("row").alias("rid"), F.col("head").alias("hid")).filter("rid != hid"),
+            "members",
+        )
+    store.drop("blocks")
+    star = store.save(
+        members.groupBy(F.greatest("rid", "hid").alias("a"), F.least("rid", "hid").alias("b")).agg(
+            F.count(F.lit(1)).alias("shared")
+        ),
+        "star",
     )
-    store.drop("blocks", "found")
-    others = members.filter("rid != hid")
-    candidates = others.select(F.greatest("rid", "hid").alias("a"), F.least("rid", "hid").alias("b"))
-    tried = store.save(_compatible(candidates.distinct(), sketches, like), "tried")
-    wanted = others.select(F.explode(F.array("rid", "hid")).alias("_row")).distinct()
-    sets = store.save(_sets(rows.select("_row", "text").join(wanted, "_row"), like), "sets")
+    wanted = star.select(F.explode(F.array("a", "b")).alias("_row")).distinct()
+    sets = store.save(_sets(chosen_rows(texts, wanted).select("_row", "text"), like), "sets")
     store.release()
-    links = store.save(_verified(tried, sets, like), "links1")
-    root = components(links, store, "first")
 
-    shared = store.save(
-        members.select("key", F.explode(F.array("rid", "hid")).alias("rid")).distinct(), "shared"
+    linker = _Linker(sets, like, store)
+    best = star.groupBy("a").agg(F.max_by("b", F.struct("shared", -F.col("b"))).alias("b"))
+    linker.verify(best)
+    rest = linker.apart(star.select("a", "b").join(best, ["a", "b"], "left_anti"))
+    linker.verify(store.save(_compatible(rest, sketches, like), "tried2"))
+
+    # A band has rows in several components only if one of its pairs has.
+    crossing = store.save(linker.apart(star.select("a", "b")), "crossing")
+    if not crossing.isEmpty():
+        of_band = members.select("key", F.greatest("rid", "hid").alias("a"), F.least("rid", "hid").alias("b"))
+        keys = of_band.join(crossing, ["a", "b"], "left_semi").select("key").distinct()
+        open_rows = store.save(
+            members.join(keys, "key", "left_semi").select("key", F.explode(F.array("rid", "hid")).alias("rid")).distinct(),
+            "open",
+        )
+        _connect_open(linker, open_rows, star.select("a", "b"), sketches, like, store)
+
+    node_of = with_words.select("_row", "_id", *digest).join(
+        nodes.select(*digest, F.col("_row").alias("rid")), digest
     )
-    degrees = shared.join(shared.groupBy("key").agg(F.count(F.lit(1)).alias("rows")), "key")
-    degree = store.save(degrees.groupBy("rid").agg(F.sum("rows").alias("degree")), "degree")
-    open_rows = store.save(_open_rows(shared, root).join(degree, "rid"), "open1")
+    in_group = store.save(linker.with_roots(node_of, "rid", "root").select("_row", "_id", "n", "root"), "in_group")
+    named = in_group.groupBy("root").agg(F.min("_id").alias("component"))
+    alone = described.filter("n = 0").select("_row", "_id", "n", F.lit(None).cast("bigint").alias("root"), F.col("_id").alias("component"))
+    return in_group.join(named, "root").select("_row", "_id", "n", "root", "component").unionAll(alone)
+
+
+def _connect_open(
+    linker: _Linker, open_rows: DataFrame, tried: DataFrame, sketches: DataFrame, like: Likeness, store: Store
+) -> None:
+    """Steps 3 and 4 of ``near_duplicates``: (key, rid) of bands with several components."""
+
+    def pair(x: str, y: str) -> list[Column]:
+        return [F.greatest(x, y).alias("a"), F.least(x, y).alias("b")]
+
+    degree = open_rows.groupBy("rid").agg(F.count(F.lit(1)).alias("degree"))
+    placed = linker.with_roots(open_rows, "rid", "root").join(degree, "rid")
     centre = F.max_by(F.struct("rid", "root"), F.struct("degree", "rid")).alias("c")
-    pairs = open_rows.join(open_rows.groupBy("key").agg(centre), "key").filter("root != c.root")
-    pairs = pairs.select(
-        F.greatest("rid", "c.rid").alias("a"), F.least("rid", "c.rid").alias("b")
-    ).distinct()
-    central = store.save(
-        _compatible(pairs, sketches, like).join(tried, ["a", "b"], "left_anti"), "tried2"
-    )
-    store.release()
-    links = links.unionAll(store.save(_verified(central, sets, like), "links2"))
-    root = components(links, store, "second")
-    store.release()
+    central = placed.join(placed.groupBy("key").agg(centre), "key").filter("root != c.root").select(*pair("rid", "c.rid")).distinct()
+    central = store.save(_compatible(central, sketches, like).join(tried, ["a", "b"], "left_anti"), "tried3")
+    linker.verify(central)
 
-    store.drop("open1", "degree")
-    open_rows = store.save(_open_rows(shared, root).join(sketches, "rid"), "open2")
-    pairs = open_rows.filter("root != main").alias("x").join(
-        open_rows.alias("y"),
-        (F.col("x.key") == F.col("y.key"))
-        & (F.col("x.root") != F.col("y.root"))
-        & ((F.col("y.root") == F.col("y.main")) | (F.col("x.rid") > F.col("y.rid")))
-        & _may_be_alike(like, "x", "y"),
+    placed = store.save(linker.with_roots(open_rows, "rid", "root"), "placed")
+    largest = (
+        placed.groupBy("key", "root")
+        .count()
+        .groupBy("key")
+        .agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
+        .filter("roots > 1")
     )
-    tried = tried.unionAll(central)
-    rest = pairs.select(
-        F.greatest("x.rid", "y.rid").alias("a"), F.least("x.rid", "y.rid").alias("b")
-    ).distinct()
-    rest = store.save(rest.join(tried, ["a", "b"], "left_anti"), "tried3")
-    store.release()
-    links = links.unionAll(store.save(_verified(rest, sets, like), "links3"))
-    root = components(links, store, "third")
-    store.release()
-
-    in_group = node_of.join(root.withColumnRenamed("node", "rid"), "rid", "left").select(
-        "_row", "_id", F.coalesce("root", "rid").alias("root")
+    mixed = store.save(placed.join(largest.select("key", "main"), "key").join(sketches, "rid"), "mixed")
+    rest = (
+        mixed.filter("root != main")
+        .alias("x")
+        .join(
+            mixed.alias("y"),
+            (F.col("x.key") == F.col("y.key"))
+            & (F.col("x.root") != F.col("y.root"))
+            & ((F.col("y.root") == F.col("y.main")) | (F.col("x.rid") > F.col("y.rid")))
+            & _may_be_alike(like, "x", "y"),
+        )
+        .select(*pair("x.rid", "y.rid"))
+        .distinct()
     )
-    named = in_group.groupBy("root").agg(F.min("_id").alias("component"))
-    component = in_group.join(named, "root").select("_row", "root", "component")
-    grouped = described.select("_row", "_id", "n").join(component, "_row", "left")
-    return grouped.withColumn("component", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("_id")))
+    linker.verify(store.save(rest.join(tried.unionAll(central), ["a", "b"], "left_anti"), "tried4"))
 
 
 def near_report(docs: DataFrame, like: Likeness) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``; see ``near_duplicates``."""
     store = Store(docs.sparkSession)
-    numbered = store.save(_numbered(docs.select("doc_id", "text")), "rows")
-    texts = numbered.select("_row", "_id", F.col("_doc.text").alias("text"))
-    return near_duplicates(texts, like, store).select(
+    rows = store.save_rows(docs.select(F.struct("doc_id", "text").alias("_doc")), "rows")
+    return near_duplicates(rows, like, store).select(
         F.col("_id").alias("doc_id"),
         F.col("n").alias("n_shingles"),
         F.col("component").alias("component_id"),
@@ -469,21 +540,12 @@ def distinct_documents(docs: DataFrame, like: Likeness = Likeness()) -> DataFram
     smallest row number, a null id last); rows without words all stay.
     """
     store = Store(docs.sparkSession)
-    numbered = store.save(_numbered(docs), "rows")
-    texts = numbered.select("_row", "_id", F.col("_doc.text").alias("text"))
-    grouped = store.save(near_duplicates(texts, like, store), "grouped")
-    store.drop("sets", "described", "members", "shared", "open2")
-    store.release()
-    in_group = grouped.filter("root is not null")
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_doc")
+    rows = store.save_rows(docs.select(whole), "rows")
+    grouped = near_duplicates(rows, like, store).filter("root IS NOT NULL")
     first = F.min(F.struct(F.col("_id").isNull().alias("late"), "_id", "_row"))
-    stays = in_group.groupBy("root").agg(first.alias("s")).select("root", F.col("s._row").alias("_stays"))
-    dropped = in_group.join(stays, "root").filter("_row != _stays").select("_row")
-    return numbered.join(dropped, "_row", "left_anti").select("_doc.*")
-
-
-def _numbered(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_doc"),
-        F.monotonically_increasing_id().alias("_row"),
-        F.col("doc_id").cast("bigint").alias("_id"),
-    )
+    stays = grouped.groupBy("root").agg(first.alias("s")).select("root", F.col("s._row").alias("_stays"))
+    dropped = store.save(grouped.join(stays, "root").filter("_row != _stays").select("_row"), "dropped")
+    store.drop("sets", "described", "nodes", "members", "star", "open", "placed", "mixed", "in_group")
+    store.release()
+    return other_rows(rows, dropped).select("_doc.*")

@@ -104,16 +104,16 @@ def train_prototypes(
 
     Of a language with more than ``max_per_language`` texts about that many are
     used, chosen by a hash of their ids.  Rows without a language or a letter teach
-    nothing.  What reaches the driver is one vector per language.
+    nothing.  What reaches the driver is a count and a vector per language; texts are
+    sampled and bundled where they are read.
     """
     labelled = labelled.filter(F.col("lang").isNotNull())
-    counts = labelled.groupBy("lang").count().withColumnRenamed("lang", "_lang")
+    counts = {row["lang"]: row["count"] for row in labelled.groupBy("lang").count().collect()}
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    sample = (
-        labelled.join(counts, F.col("lang") == F.col("_lang"))
-        .filter(drawn < F.lit(float(max_per_language)) / F.col("count"))
-        .select("text", "lang")
-    )
+    # One rate per language goes into the scan, so no text is shuffled.
+    rates = [F.lit(x) for lang, n in counts.items() for x in (lang, max_per_language / n)]
+    rate = F.create_map(*rates)[F.col("lang")] if rates else F.lit(0.0)
+    sample = labelled.filter(drawn < rate).select("text", "lang")
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

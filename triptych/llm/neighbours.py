@@ -12,7 +12,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,35 +41,63 @@ class CentroidGraph:
         far = (np.arange(k)[:, None] * 31 + np.arange(1, 5)[None, :] * (k // 5 + 1)) % k
         return cls(centroids, np.hstack([links, far]), np.unique(np.linspace(0, k - 1, entries).astype(int)))
 
-    def search(self, vectors: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, vectors: np.ndarray, beam: int, *, together: int = 4) -> tuple[np.ndarray, np.ndarray]:
         """(centroids, distances) of about the ``beam`` nearest, nearest first.
 
-        Best-first search for all vectors at once: every round opens each vector's
-        nearest unopened centroid of its beam, until none is left.
+        Best-first search for all vectors at once.  Each has a beam of centroids, the best
+        met so far; every round opens the ``together`` nearest that are not open yet and
+        lets their links into the beam, until all of it is open.  What a vector holds is
+        its beam, and what it costs depends on the beam and the links, not on the number
+        of centroids.
         """
         n, k = len(vectors), len(self.centroids)
         beam = min(beam, k)
-        similarity = np.full((n, k), -np.inf, np.float32)
-        opened = np.zeros((n, k), bool)
-        similarity[:, self.entries] = vectors @ self.centroids[self.entries].T
+        width = max(beam, len(self.entries))
+        ids = np.full((n, width), -1, np.int32)
+        similarity = np.full((n, width), -np.inf, np.float32)
+        opened = np.zeros((n, width), bool)
+        ids[:, : len(self.entries)] = self.entries
+        similarity[:, : len(self.entries)] = vectors @ self.centroids[self.entries].T
+        ids, similarity, opened = _best_of(ids, similarity, opened, beam)
         active = np.arange(n)
         while len(active):
-            own = similarity[active]
-            worst = np.partition(own, k - beam, axis=1)[:, k - beam]
-            candidates = np.where(opened[active], -np.inf, own)
-            best = candidates.argmax(axis=1)
-            value = candidates[np.arange(len(active)), best]
-            going = np.isfinite(value) & (value >= worst)
-            active, best = active[going], best[going]
-            opened[active, best] = True
-            if len(active):
-                to = self.links[best]
-                similarity[active[:, None], to] = np.einsum(
-                    "nd,nld->nl", vectors[active], self.centroids[to]
-                )
-        order = np.argsort(-similarity, axis=1, kind="stable")[:, :beam]
+            waiting = np.where(opened[active] | (ids[active] < 0), -np.inf, similarity[active])
+            at = np.argsort(-waiting, axis=1)[:, :together]
+            goes = np.isfinite(np.take_along_axis(waiting, at, axis=1))
+            going = goes.any(axis=1)
+            active, at, goes = active[going], at[going], goes[going]
+            if not len(active):
+                break
+            own, known = ids[active], opened[active]
+            np.put_along_axis(known, at, np.take_along_axis(known, at, axis=1) | goes, axis=1)
+            to = np.where(goes[:, :, None], self.links[np.take_along_axis(own, at, axis=1)], -1).reshape(len(active), -1)
+            # Each centroid once, and none that is in the beam.
+            to = np.sort(to, axis=1)
+            to[:, 1:][to[:, 1:] == to[:, :-1]] = -1
+            # A row's numbers follow those of the row before, so one sorted array holds all beams.
+            row = np.arange(len(own))[:, None] * (k + 1) + 1
+            in_beam, wanted = (np.sort(own, axis=1) + row).ravel(), to + row
+            place = np.minimum(np.searchsorted(in_beam, wanted), len(in_beam) - 1)
+            old = (to < 0) | (in_beam[place] == wanted)
+            products = np.einsum("nd,nld->nl", vectors[active], self.centroids[np.maximum(to, 0)])
+            new = np.where(old, -np.inf, products)
+            ids[active], similarity[active], opened[active] = _best_of(
+                np.hstack([own, to]),
+                np.hstack([similarity[active], new.astype(np.float32)]),
+                np.hstack([known, np.zeros(to.shape, bool)]),
+                beam,
+            )
+        order = np.argsort(-similarity, axis=1, kind="stable")
         found = np.take_along_axis(similarity, order, axis=1)
-        return order, np.sqrt(np.maximum(2 - 2 * found, 0))
+        return np.take_along_axis(ids, order, axis=1).astype(np.int64), np.sqrt(np.maximum(2 - 2 * found, 0))
+
+
+def _best_of(ids: np.ndarray, similarity: np.ndarray, opened: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
+    """The ``n`` columns of every row with the largest similarity."""
+    if similarity.shape[1] <= n:
+        return ids, similarity, opened
+    best = np.argpartition(-similarity, n - 1, axis=1)[:, :n]
+    return tuple(np.take_along_axis(x, best, axis=1) for x in (ids, similarity, opened))
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -159,7 +186,9 @@ def nearest_neighbours(
     table gives an empty result.  Other columns are ignored.
 
     Every usable row is indexed.  Centroids are trained on ``max_sample`` rows at
-    most, about one per ``list_size`` rows and ``max_centroids`` at most.  A row is
+    most, about one per ``list_size`` rows and ``max_centroids`` at most: beyond some
+    three million rows lists grow with the table unless that is raised, and it can be
+    raised to the size of the sample.  A row is
     in up to ``replicas`` lists whose centroid is at most ``boundary_ratio`` times
     as far as the nearest; a query reads the lists up to ``search_ratio``, among
     the ``beam`` nearest.  Lists and their queries are cut into blocks of ``block``
@@ -261,31 +290,26 @@ def _search_lists(postings: DataFrame, wanted: DataFrame, neighbours: int, block
         .select("list", "block", "ask", "row", "vec_id", "v")
     )
 
-    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
+    names = ["query_row", "query_id", "row", "vec_id", "score"]
+
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        parts = []
         if len(left) and len(right):
-            vectors, queries = np.stack(left["v"]), np.stack(right["v"])
+            left, right = left.combine_chunks(), right.combine_chunks()
+            vectors, queries = (_matrix(side["v"].chunk(0), dimensions) for side in (left, right))
             rows, ids = left["row"].to_numpy(), left["vec_id"]
-            order = ids.fillna(-(2**63)).astype("int64").to_numpy()
+            order = ids.fill_null(-(2**63)).to_numpy()
             for i, best, scores in _top(queries, right["row"].to_numpy(), vectors, rows, order, neighbours):
-                asker = right.iloc[i]
-                out.append(
-                    pd.DataFrame(
-                        {
-                            "query_row": asker["row"],
-                            "query_id": asker["vec_id"],
-                            "row": rows[best],
-                            "vec_id": ids.to_numpy()[best],
-                            "score": scores,
-                        }
-                    )
-                )
-        columns = ["query_row", "query_id", "row", "vec_id", "score"]
-        return pd.concat(out) if out else pd.DataFrame(columns=columns)
+                parts.append((np.full(len(best), i), best, scores))
+        if not parts:
+            return pa.table({name: pa.array([], kind) for name, kind in zip(names, [*[pa.int64()] * 4, pa.float64()], strict=True)})
+        asker, best, scores = (np.concatenate(x) for x in zip(*parts, strict=True))
+        columns = [right["row"].take(asker), right["vec_id"].take(asker), left["row"].take(best), ids.take(best)]
+        return pa.table([*columns, pa.array(scores)], names=names)
 
     keys = ["list", "block", "ask"]
     return (
         candidates.groupBy(*keys)
         .cogroup(queries.groupBy(*keys))
-        .applyInPandas(search, "query_row bigint, query_id bigint, row bigint, vec_id bigint, score double")
+        .applyInArrow(search, "query_row bigint, query_id bigint, row bigint, vec_id bigint, score double")
     )

@@ -9,6 +9,7 @@ from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+_PENALTY = 0.001
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -53,6 +54,60 @@ def char_ngrams(host: Column, path: Column, sizes: Sequence[int]) -> Column:
     return F.concat(*[grams(mark, part, n) for mark, part in (("h", host), ("p", path)) for n in sizes])
 
 
+def _ruled(pages: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
+    """page_id, host, path, rule and ``_ruled``, the rule's verdict; the last two null without a rule."""
+    url = F.coalesce(F.col("url"), F.lit(""))
+    host, path = host_and_path(url)
+    parsed = pages.select(F.col("page_id").cast("bigint").alias("page_id"), host.alias("host"), path.alias("path"))
+    ruled = parsed.withColumn("rule", rule_column(F.col("host"), F.col("path"), rules))
+    verdict_of = F.lit(None).cast("string")
+    for verdict, rule in rules:
+        verdict_of = F.when(F.col("rule") == rule, verdict).otherwise(verdict_of)
+    return ruled.withColumn("_ruled", verdict_of)
+
+
+def _labelled(ruled: DataFrame, most: int) -> DataFrame:
+    """host, path and label (1 for block) of at most ``most`` distinct urls that a rule decides."""
+    return (
+        ruled.filter(F.col("rule").isNotNull())
+        .select("host", "path", F.when(F.col("_ruled") == "block", 1.0).otherwise(0.0).alias("label"))
+        .distinct()
+        .orderBy(F.xxhash64("host", "path"), "host", "path")
+        .limit(most)
+        .coalesce(1)
+    )
+
+
+class UrlModel:
+    """Logistic regression on hashed character n-grams; a single guess if there is one label only."""
+
+    def __init__(self, labelled: DataFrame, sizes: Sequence[int], features: int, iterations: int) -> None:
+        self.grams = char_ngrams(F.col("host"), F.col("path"), sizes)
+        self.hashing = HashingTF(inputCol="_grams", outputCol="features", numFeatures=features, binary=True)
+        train = self._features(labelled).select("label", "features").persist()
+        counts = {row["label"]: row["count"] for row in train.groupBy("label").count().collect()}
+        self.guess = "block" if 1.0 in counts else "allow"
+        self.model = None
+        if len(counts) == 2:
+            # Both labels weigh the same in total, however many rows the rules give them.
+            weight = F.when(F.col("label") == 1.0, 0.5 / counts[1.0]).otherwise(0.5 / counts[0.0])
+            regression = LogisticRegression(
+                maxIter=iterations, regParam=_PENALTY, standardization=False, weightCol="weight"
+            )
+            self.model = regression.fit(train.withColumn("weight", weight * F.lit(sum(counts.values()))))
+        train.unpersist()
+
+    def _features(self, rows: DataFrame) -> DataFrame:
+        return self.hashing.transform(rows.withColumn("_grams", self.grams))
+
+    def judged(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (host, path) with ``_guess``, ``allow`` or ``block``, among their columns."""
+        if self.model is None:
+            return rows.withColumn("_guess", F.lit(self.guess))
+        guess = F.when(F.col("prediction") == 1.0, "block").otherwise("allow")
+        return self.model.transform(self._features(rows)).withColumn("_guess", guess)
+
+
 def judge_urls(
     pages: DataFrame,
     rules: Sequence[tuple[str, str]],
@@ -75,41 +130,33 @@ def judge_urls(
     Repeated rows and null ids give rows of their own; ``pages`` may be empty and
     have other columns.
     """
-    url = F.coalesce(F.col("url"), F.lit(""))
-    host, path = host_and_path(url)
-    parsed = pages.select(F.col("page_id").cast("bigint").alias("page_id"), host.alias("host"), path.alias("path"))
-    ruled = parsed.withColumn("rule", rule_column(F.col("host"), F.col("path"), rules))
-    verdict_of = F.lit(None).cast("string")
-    for verdict, rule in rules:
-        verdict_of = F.when(F.col("rule") == rule, verdict).otherwise(verdict_of)
-    ruled = ruled.withColumn("_ruled", verdict_of)
-
-    labelled = (
-        ruled.filter(F.col("rule").isNotNull())
-        .select("host", "path", F.when(F.col("_ruled") == "block", 1.0).otherwise(0.0).alias("label"))
-        .distinct()
-        .orderBy(F.xxhash64("host", "path"), "host", "path")
-        .limit(max_labelled)
-        .coalesce(1)
-    )
-    grams = char_ngrams(F.col("host"), F.col("path"), sizes)
-    hashing = HashingTF(inputCol="_grams", outputCol="features", numFeatures=features, binary=True)
-    train = hashing.transform(labelled.withColumn("_grams", grams)).select("label", "features").persist()
-    counts = {row["label"]: row["count"] for row in train.groupBy("label").count().collect()}
-    if len(counts) < 2:
-        guess = F.lit("block" if 1.0 in counts else "allow")
-        judged = ruled.withColumn("_guess", guess)
-    else:
-        # Both labels weigh the same in total, however many rows the rules give them.
-        weight = F.when(F.col("label") == 1.0, 0.5 / counts[1.0]).otherwise(0.5 / counts[0.0])
-        regression = LogisticRegression(
-            maxIter=iterations, regParam=0.001, standardization=False, weightCol="weight"
-        )
-        model = regression.fit(train.withColumn("weight", weight * F.lit(sum(counts.values()))))
-        judged = model.transform(hashing.transform(ruled.withColumn("_grams", grams))).withColumn(
-            "_guess", F.when(F.col("prediction") == 1.0, "block").otherwise("allow")
-        )
-    train.unpersist()
-    return judged.select(
+    ruled = _ruled(pages, rules)
+    model = UrlModel(_labelled(ruled, max_labelled), sizes, features, iterations)
+    return model.judged(ruled).select(
         "page_id", "host", "path", "rule", F.coalesce("_ruled", "_guess").alias("verdict")
     )
+
+
+def held_out_accuracy(
+    pages: DataFrame,
+    rules: Sequence[tuple[str, str]],
+    *,
+    sizes: Sequence[int] = (3, 4),
+    features: int = 1 << 14,
+    max_labelled: int = 20_000,
+    iterations: int = 30,
+    share: int = 5,
+) -> DataFrame:
+    """label, n and right: how the model judges ruled urls that it has not learned from.
+
+    One of ``share`` hosts, chosen by a hash, is held out with all its urls: the model
+    sees neither them nor their neighbours.
+    """
+    labelled = _labelled(_ruled(pages, rules), max_labelled)
+    out = F.pmod(F.xxhash64(F.lit("held out"), "host"), F.lit(share)) == 0
+    model = UrlModel(labelled.filter(~out), sizes, features, iterations)
+    label = F.when(F.col("label") == 1.0, "block").otherwise("allow")
+    judged = model.judged(labelled.filter(out)).select(label.alias("label"), "_guess")
+    return judged.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == F.col("_guess")).alias("right")
+    )

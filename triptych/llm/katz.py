@@ -1,14 +1,17 @@
-"""A Katz backoff bigram model, trained on one part of a corpus and scoring all of it.
+"""A Katz backoff model, trained on one part of a corpus and scoring all of it.
 
-P(w | h) = d(c) c(h, w) / c(h) if the pair was seen, else a(h) P(w); P(w) = d'(c) c(w) / N
-if the word was seen, else the mass that discounting left.  The discounts d are
-Good-Turing's; a(h) makes every P(. | h) sum to one over the words seen and one
-unknown word.
+P(w | h) = d(c) c(h, w) / c(h) if the n-gram was seen, else a(h) P(w | h'), where h' is h
+without its first word; P(w) = d'(c) c(w) / N if the word was seen, else the mass that
+discounting left.  The discounts d of each length are Good-Turing's; a(h) makes every
+P(. | h) sum to one over the words seen and one unknown word.
 
 A join of every token with the n-gram tables would move the corpus several times.
-Instead blocks of about half a million tokens exchange with the tables: each asks once
-for every distinct word, and once for every distinct pair, of its own.  Questions
-and answers travel as packed arrays.
+Instead blocks of about half a million tokens exchange with the tables, length by
+length: each asks once for every distinct n-gram of its own and gets its count, and
+a weight only where the n-gram was not seen.  Questions and answers travel as packed
+arrays.  Of the n-grams of a length, those of a context meet in one bucket; a frequent
+context has several, as many as its count demands, and its sums are put together
+from them.
 """
 
 from __future__ import annotations
@@ -125,18 +128,6 @@ class Unigrams:
         return np.where(counts > 0, seen, self.unknown)
 
 
-@dataclass(frozen=True)
-class Contexts:
-    """Contexts so frequent that their pairs are spread over all buckets, with their counts."""
-
-    ids: np.ndarray
-    buckets: int
-
-    def bucket(self, h: np.ndarray, w: np.ndarray) -> np.ndarray:
-        key = mix(np.where(np.isin(h, self.ids), mix(h) ^ w, h))
-        return (((key >> np.uint64(32)) * np.uint64(self.buckets)) >> np.uint64(32)).astype(np.int64)
-
-
 # --- blocks -----------------------------------------------------------------------
 
 _BLOCK_SCHEMA = (
@@ -271,159 +262,312 @@ def _encoded(blocks: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return joined.mapInArrow(attach, schema)
 
 
+def _rows_of(batch: pa.RecordBatch) -> Iterator[list]:
+    yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
+
+
+# --- n-grams of a block -----------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Buckets:
+    """Where n-grams are counted: a context that occurs ``share`` times or more has several buckets."""
+
+    number: int
+    share: int
+
+    def of(self, words: np.ndarray, shares: np.ndarray) -> np.ndarray:
+        """Bucket of n-grams (a row per place) from their context, and from the last word if it has several."""
+        key = np.zeros(words.shape[1], np.uint64)
+        for word in words[:-1]:
+            key = mix(key + word)
+        key = mix(key + mix(words[-1]) % shares.astype(np.uint64))
+        return (((key >> np.uint64(32)) * np.uint64(self.number)) >> np.uint64(32)).astype(np.int64)
+
+
 @dataclass
-class BlockPairs:
-    """The distinct (context, word) pairs of a block, by bucket, context and word."""
+class Grams:
+    """The distinct n-grams of a block, sorted by bucket and words.
+
+    ``context`` and ``suffix`` are the places of an n-gram without its last and without
+    its first word among the shorter ones; ``of_token`` is that of the n-gram which a
+    token ends, -1 where the text has begun too late.  ``total`` is the count of the
+    context; ``counts``, ``aside`` and ``p`` come with the answers.
+    """
 
-    h: np.ndarray
-    w: np.ndarray
+    words: np.ndarray
+    context: np.ndarray
+    suffix: np.ndarray
+    of_token: np.ndarray
     trained: np.ndarray
-    count_h: np.ndarray
-    count_w: np.ndarray
+    total: np.ndarray
+    shares: np.ndarray
     edges: np.ndarray
-    token_pair: np.ndarray
+    counts: np.ndarray
+    aside: np.ndarray
+    p: np.ndarray
 
     @classmethod
-    def of(cls, tokens: bytes, known: bytes, sizes: np.ndarray, held: np.ndarray, contexts: Contexts, starts: int) -> BlockPairs:
-        """``starts`` is the count of the start of a text as a context."""
-        token = unpacked(tokens, 1)[0].astype(np.int64)
+    def single(cls, token: np.ndarray, known: bytes, starts: int, unigrams: Unigrams) -> Grams:
+        """The words of a block; the last place is the start of a text, a context only."""
         ids, counts = unpacked(known, 2)
-        ids, counts = np.append(ids, _START).astype(np.uint64), np.append(counts, starts)
-        before = np.empty_like(token)
-        before[1:] = token[:-1]
-        before[np.cumsum(sizes) - sizes] = len(ids) - 1
-        pair, token_pair = np.unique(before * len(ids) + token, return_inverse=True)
-        learn = np.repeat(~held, sizes)
-        trained = np.bincount(token_pair[learn], minlength=len(pair))
-        before, token = pair // len(ids), pair % len(ids)
-        h, w = ids[before], ids[token]
-        bucket = contexts.bucket(h, w)
-        order = np.lexsort((w, h, bucket))
+        counts = counts.astype(np.int64)
+        none = np.zeros(len(ids) + 1, np.int64)
+        return cls(
+            words=np.append(ids, np.uint64(_START))[None, :],
+            context=none,
+            suffix=none,
+            of_token=token,
+            trained=none,
+            total=none,
+            shares=none,
+            edges=none,
+            counts=np.append(counts, starts),
+            aside=none.astype(bool),
+            p=np.append(unigrams(counts), 1.0),
+        )
+
+    def longer(self, texts: Texts, buckets: Buckets) -> Grams:
+        """The n-grams of one more word; their answers are still to come."""
+        size = self.words.shape[1]
+        before = np.empty_like(self.of_token)
+        before[1:] = self.of_token[:-1]
+        before[texts.first] = size - 1 if len(self.words) == 1 else -1
+        whole = (before >= 0) & (self.of_token >= 0)
+        code, inverse = np.unique(before[whole] * size + self.of_token[whole], return_inverse=True)
+        trained = np.bincount(inverse[texts.learn[whole]], minlength=len(code))
+        context, suffix = np.divmod(code, size)
+        words = np.vstack([self.words[:, context], self.words[-1:, suffix]])
+        total = self.counts[context]
+        shares = 1 + total // buckets.share
+        bucket = buckets.of(words, shares)
+        order = np.lexsort((*words[::-1], bucket))
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        edges = np.searchsorted(bucket[order], np.arange(contexts.buckets + 1))
-        return cls(
-            h[order], w[order], trained[order], counts[before][order], counts[token][order], edges, place[token_pair]
+        of_token = np.full(len(self.of_token), -1)
+        of_token[whole] = place[inverse]
+        none = np.zeros(len(order), np.int64)
+        return Grams(
+            words=words[:, order],
+            context=context[order],
+            suffix=suffix[order],
+            of_token=of_token,
+            trained=trained[order],
+            total=total[order],
+            shares=shares[order],
+            edges=np.searchsorted(bucket[order], np.arange(buckets.number + 1)),
+            counts=none,
+            aside=none.astype(bool),
+            p=none.astype(float),
         )
 
+    def learn(self, found: list[dict] | None, shorter: Grams, discounts: Discounts) -> None:
+        """Take the answers in: the recursion's step from the shorter n-grams' probabilities."""
+        weight = np.ones(len(self.p))
+        for part in found or []:
+            own = slice(self.edges[part["bucket"]], self.edges[part["bucket"] + 1])
+            answer = unpacked(part["counts"], 1)[0].astype(np.int64)
+            self.counts[own], self.aside[own] = answer >> 1, answer & 1
+            unseen = np.flatnonzero(self.counts[own] == 0) + own.start
+            weight[unseen] = np.frombuffer(zstandard.decompress(part["weights"]))
+        seen = seen_probability(self.counts, self.total, self.aside, discounts)
+        self.p = np.where(self.counts > 0, seen, weight * shorter.p[self.suffix])
 
-def _rows_of(batch: pa.RecordBatch) -> Iterator[list]:
-    yield from zip(*(column.to_pylist() for column in batch.columns), strict=True)
 
+def seen_probability(counts: np.ndarray, total: np.ndarray, aside: np.ndarray, discounts: Discounts) -> np.ndarray:
+    """P(w | h) of seen n-grams; ``aside`` contexts have set one more occurrence aside."""
+    return discounts(counts) * counts / np.maximum(total + aside, 1)
+
+
+@dataclass(frozen=True)
+class Texts:
+    """Tokens that begin a text, and those of texts learned from."""
+
+    first: np.ndarray
+    learn: np.ndarray
+
+    @classmethod
+    def of(cls, sizes: list[int], held: list[bool]) -> Texts:
+        sizes = np.array(sizes)
+        return cls(np.cumsum(sizes) - sizes, np.repeat(~np.array(held, bool), sizes))
+
+
+@dataclass(frozen=True)
+class Model:
+    """What tasks need to know of the corpus; its size does not depend on the corpus."""
+
+    starts: int
+    unigrams: Unigrams
+    discounts: dict[int, Discounts]
+    buckets: dict[int, Buckets]
 
-# --- pairs ------------------------------------------------------------------------
+    def grams(self, row: dict, length: int) -> tuple[Grams, Grams]:
+        """A block's n-grams of ``length``, not yet answered, and the shorter ones."""
+        texts = Texts.of(row["sizes"], row["held"])
+        token = unpacked(row["tokens"], 1)[0].astype(np.int64)
+        grams = Grams.single(token, row["known"], self.starts, self.unigrams)
+        for n in range(2, length + 1):
+            shorter, grams = grams, grams.longer(texts, self.buckets[n])
+            if n < length:
+                grams.learn(row[f"found{n}"], shorter, self.discounts[n])
+        return grams, shorter
 
 
-def _count_pairs(encoded: DataFrame, contexts: Contexts, starts: int) -> DataFrame:
-    """The table of pair counts, one packed row per bucket, with what each block asked.
+def _state_columns(length: int) -> list[str]:
+    return ["block", "sizes", "held", "tokens", "known", *[f"found{n}" for n in range(2, length)]]
 
-    ``model``: contexts, words, counts and the words' own counts of all seen pairs.
-    ``parts``: per block the counts of its pairs in its order, and the places of its
-    contexts among the bucket's.
+
+# --- counting ---------------------------------------------------------------------
+
+
+def _counted(state: DataFrame, length: int, model: Model) -> DataFrame:
+    """The seen n-grams per bucket, and what each block asked, in its order.
+
+    ``model``: context (a place in the bucket), count, and what gives the shorter
+    n-gram's probability, of every seen n-gram.  ``hot``: keys of contexts with several
+    buckets, and their places.  ``parts``: per block the counts and contexts of its n-grams.
     """
+    columns = _state_columns(length)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, tokens, known, sizes, held in _rows_of(batch):
-                pairs = BlockPairs.of(tokens, known, np.array(sizes), np.array(held), contexts, starts)
-                buckets = np.flatnonzero(np.diff(pairs.edges))
-                data = [
-                    packed(*(x[pairs.edges[b] : pairs.edges[b + 1]] for x in (pairs.h, pairs.w, pairs.trained, pairs.count_w)))
-                    for b in buckets
-                ]
+            for values in _rows_of(batch):
+                row = dict(zip(columns, values, strict=True))
+                grams, shorter = model.grams(row, length)
+                learned = grams.trained > 0
+                # A seen n-gram's shorter one is seen: its count and that of its context tell its P.
+                total = np.where(learned, 2 * shorter.total[grams.suffix] + shorter.aside[grams.suffix], 0)
+                count = np.where(learned, shorter.counts[grams.suffix], 0)
+                arrays = [*grams.words, 2 * grams.trained + (grams.shares > 1), count, total]
+                used = np.flatnonzero(np.diff(grams.edges))
+                data = [packed(*(x[grams.edges[b] : grams.edges[b + 1]] for x in arrays)) for b in used]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(buckets, pa.int32()), pa.array([block] * len(buckets), pa.int64()), pa.array(data, pa.binary())],
+                    [pa.array(used, pa.int32()), pa.array([row["block"]] * len(used), pa.int64()), pa.array(data, pa.binary())],
                     names=["bucket", "block", "data"],
                 )
 
+    part_type = pa.struct([("block", pa.int64()), ("counts", pa.binary()), ("contexts", pa.binary())])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for bucket, parts in _rows_of(batch):
-                arrays = [unpacked(part["data"], 4) for part in parts]
-                h, w, trained, count_w = np.concatenate(arrays, axis=1)
-                order = np.lexsort((w, h))
-                new = np.ones(len(order), bool)
-                new[1:] = (np.diff(h[order]) != 0) | (np.diff(w[order]) != 0)
-                pair = np.empty(len(order), np.int64)
-                pair[order] = np.cumsum(new) - 1
-                counts = np.bincount(pair, trained).astype(np.uint64)
+                arrays = [unpacked(part["data"], length + 3) for part in parts]
+                *words, trained, lower_count, lower_total = np.concatenate(arrays, axis=1)
+                order = np.lexsort(words[::-1])
+                new_context, new = np.zeros(len(order), bool), np.zeros(len(order), bool)
+                new[:1] = new_context[:1] = True
+                for word in words[:-1]:
+                    new_context[1:] |= np.diff(word[order]) != 0
+                new[1:] = new_context[1:] | (np.diff(words[-1][order]) != 0)
+                gram, context = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+                gram[order], context[order] = np.cumsum(new) - 1, np.cumsum(new_context) - 1
+                counts = np.bincount(gram, (trained >> np.uint64(1)).astype(float)).astype(np.int64)
                 first = order[new]
+                lower = np.zeros((2, len(first)), np.uint64)
+                for into, values in zip(lower, (lower_count, lower_total), strict=True):
+                    np.maximum.at(into, gram, values)
                 seen = counts > 0
-                context = np.unique(h)
+                heads = order[new_context]
+                hot = np.flatnonzero(trained[heads] & np.uint64(1))
+                key = np.zeros(len(hot), np.uint64)
+                for word in words[:-1]:
+                    key = mix(key + word[heads[hot]])
                 answers, at = [], 0
                 for part, array in zip(parts, arrays, strict=True):
-                    own = pair[at : at + array.shape[1]]
-                    at += array.shape[1]
-                    places = np.searchsorted(context, np.unique(array[0]))
-                    answers.append({"block": part["block"], "counts": packed(counts[own]), "contexts": packed(places)})
-                model = packed(h[first][seen], w[first][seen], counts[seen], count_w[first][seen])
+                    own = slice(at, at + array.shape[1])
+                    at = own.stop
+                    steps = np.diff(context[own], prepend=0)
+                    answers.append({"block": part["block"], "counts": packed(counts[gram[own]]), "contexts": packed(steps)})
                 rare = [int((counts == r).sum()) for r in range(1, TRUSTED_COUNT + 2)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([bucket], pa.int32()),
-                        pa.array([packed(context)], pa.binary()),
-                        pa.array([model], pa.binary()),
-                        pa.array([rare], pa.list_(pa.int64())),
-                        pa.array([answers], pa.list_(pa.struct([("block", pa.int64()), ("counts", pa.binary()), ("contexts", pa.binary())]))),
-                    ],
-                    names=["bucket", "contexts", "model", "rare", "parts"],
-                )
+                cells = [
+                    (bucket, pa.int32()),
+                    (len(heads), pa.int64()),
+                    (packed(context[first][seen], counts[seen], *lower[:, seen]), pa.binary()),
+                    (packed(key, hot), pa.binary()),
+                    (rare, pa.list_(pa.int64())),
+                    (answers, pa.list_(part_type)),
+                ]
+                names = ["bucket", "contexts", "model", "hot", "rare", "parts"]
+                yield pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in cells], names=names)
 
-    asked = encoded.select("block", "tokens", "known", "sizes", "held").mapInArrow(
-        ask, "bucket int, block bigint, data binary"
-    )
+    asked = state.select(*columns).mapInArrow(ask, "bucket int, block bigint, data binary")
     return asked.groupBy("bucket").agg(F.collect_list(F.struct("block", "data")).alias("parts")).mapInArrow(
         count,
-        "bucket int, contexts binary, model binary, rare array<bigint>, "
+        "bucket int, contexts bigint, model binary, hot binary, rare array<bigint>, "
         "parts array<struct<block:bigint,counts:binary,contexts:binary>>",
     )
 
 
-def _masses(contexts: bytes, model: bytes, discounts: Discounts, unigrams: Unigrams) -> tuple[np.ndarray, ...]:
-    """Per context of a bucket: its count here, what discounting takes, and P(w) of its words."""
-    context = unpacked(contexts, 1)[0]
-    h, _, count, count_w = unpacked(model, 4)
-    at = np.searchsorted(context, h)
-    count = count.astype(float)
-    size = len(context)
-    return (
-        context,
-        np.bincount(at, count, size),
-        np.bincount(at, (1 - discounts(count)) * count, size),
-        np.bincount(at, unigrams(count_w), size),
-    )
+def _masses(contexts: int, data: bytes, length: int, model: Model) -> tuple[np.ndarray, ...]:
+    """Per context of a bucket: its count here, what discounting takes, and the shorter ones' P of its words."""
+    context, count, lower_count, lower_total = unpacked(data, 4).astype(np.int64)
+    if length == 2:
+        lower = model.unigrams(lower_count)
+    else:
+        lower = seen_probability(lower_count, lower_total >> 1, lower_total & 1, model.discounts[length - 1])
+    taken = (1 - model.discounts[length](count)) * count
+    return tuple(np.bincount(context, x, contexts) for x in (count.astype(float), taken, lower))
 
 
 def _backoff(total: np.ndarray, taken: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(weight of the lower order, factor of the seen pairs) of contexts.
+    """(weight of the shorter n-grams, whether one more occurrence is set aside) of contexts.
 
-    A context without training pairs leaves all to the lower order.  One whose
-    pairs are all frequent leaves nothing: one more occurrence is then set aside.
+    A context without training n-grams leaves all to the shorter ones.  One whose
+    n-grams are all frequent leaves nothing: one more occurrence is then set aside.
     """
     aside = (taken <= 0) & (total > 0)
     total_ = np.maximum(total, 1)
     left = np.where(aside, 1 / (total_ + 1), np.where(total > 0, taken / total_, 1.0))
-    return left / np.maximum(1 - lower, 1e-300), np.where(aside, total_ / (total_ + 1), 1.0)
+    return left / np.maximum(1 - lower, 1e-300), aside
+
 
+def _hot_masses(counted: DataFrame, length: int, model: Model) -> DataFrame:
+    """(bucket, places, masses): of contexts with several buckets, the sums over all of these.
 
-def _answers(pair_counts: DataFrame, discounts: Discounts, unigrams: Unigrams, hot: dict[int, tuple[float, float]]) -> DataFrame:
-    """Per block and bucket: counts of its pairs, and its contexts' weights and factors."""
-    hot_ids = np.array(sorted(hot), np.uint64)
-    hot_values = np.array([hot[int(i)] for i in hot_ids]).reshape(len(hot_ids), 2)
+    There are as many rows as such contexts have buckets, in proportion to their tokens.
+    """
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket, contexts, data, hot in _rows_of(batch):
+                key, place = unpacked(hot, 2)
+                place = place.astype(np.int64)
+                masses = [m[place] for m in _masses(contexts, data, length, model)]
+                columns = [np.full(len(place), bucket, np.int32), key.view(np.int64), place, *masses]
+                yield pa.RecordBatch.from_arrays(
+                    list(map(pa.array, columns)), names=["bucket", "key", "place", "total", "taken", "lower"]
+                )
+
+    schema = "bucket int, key bigint, place bigint, total double, taken double, lower double"
+    parts = counted.select("bucket", "contexts", "model", "hot").mapInArrow(part, schema)
+    masses = [F.sum(name).alias(name) for name in ("total", "taken", "lower")]
+    whole = parts.groupBy("key").agg(*masses)
+    return (
+        parts.select("bucket", "key", "place")
+        .join(whole, "key")
+        .groupBy("bucket")
+        .agg(F.collect_list(F.struct("place", "total", "taken", "lower")).alias("masses"))
+    )
+
+
+def _answers(counted: DataFrame, hot: DataFrame, length: int, model: Model) -> DataFrame:
+    """(block, found): per bucket the counts of a block's n-grams, and weights of those not seen."""
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for bucket, contexts, model, parts in _rows_of(batch):
-                context, *masses = _masses(contexts, model, discounts, unigrams)
-                weights = np.stack(_backoff(*masses), axis=1)
-                if len(hot_ids):
-                    at = np.minimum(np.searchsorted(hot_ids, context), len(hot_ids) - 1)
-                    is_hot = hot_ids[at] == context
-                    weights[is_hot] = hot_values[at[is_hot]]
+            for bucket, contexts, data, parts, masses in _rows_of(batch):
+                sums = _masses(contexts, data, length, model)
+                if masses:
+                    place = np.array([m["place"] for m in masses])
+                    for own, name in zip(sums, ("total", "taken", "lower"), strict=True):
+                        own[place] = [m[name] for m in masses]
+                weight, aside = _backoff(*sums)
                 out = [[], [], [], []]
                 for part in parts:
-                    own = weights[unpacked(part["contexts"], 1)[0].astype(np.int64)]
-                    cells = (part["block"], bucket, part["counts"], zstandard.compress(own.tobytes(), 1))
+                    counts = unpacked(part["counts"], 1)[0].astype(np.int64)
+                    context = np.cumsum(unpacked(part["contexts"], 1)[0].astype(np.int64))
+                    weights = zstandard.compress(weight[context[counts == 0]].tobytes(), 1)
+                    cells = (part["block"], bucket, packed(2 * counts + aside[context]), weights)
                     for column, cell in zip(out, cells, strict=True):
                         column.append(cell)
                 types = (pa.int64(), pa.int32(), pa.binary(), pa.binary())
@@ -431,75 +575,49 @@ def _answers(pair_counts: DataFrame, discounts: Discounts, unigrams: Unigrams, h
                     [pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["block", "bucket", "counts", "weights"]
                 )
 
-    return pair_counts.select("bucket", "contexts", "model", "parts").mapInArrow(
-        answer, "block bigint, bucket int, counts binary, weights binary"
-    )
-
-
-def _hot_weights(pair_counts: DataFrame, hot: Contexts, discounts: Discounts, unigrams: Unigrams) -> dict[int, tuple[float, float]]:
-    """Backoff of the contexts whose pairs lie in many buckets, from the sums of these."""
-
-    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for contexts, model in _rows_of(batch):
-                context, *masses = _masses(contexts, model, discounts, unigrams)
-                own = np.isin(context, hot.ids)
-                columns = [pa.array(context[own].view(np.int64)), *(pa.array(m[own]) for m in masses)]
-                yield pa.RecordBatch.from_arrays(columns, names=["h", "total", "taken", "lower"])
-
-    sums = (
-        pair_counts.select("contexts", "model")
-        .mapInArrow(part, "h bigint, total double, taken double, lower double")
-        .groupBy("h")
-        .agg(*[F.sum(name).alias(name) for name in ("total", "taken", "lower")])
-        .collect()
-    )
-    out = {}
-    for row in sums:
-        weight, factor = _backoff(*(np.array([row[name]]) for name in ("total", "taken", "lower")))
-        out[row["h"]] = (float(weight[0]), float(factor[0]))
-    return out
+    per_bucket = counted.join(hot, "bucket", "left").select("bucket", "contexts", "model", "parts", "masses")
+    answered = per_bucket.mapInArrow(answer, "block bigint, bucket int, counts binary, weights binary")
+    found = F.collect_list(F.struct("bucket", "counts", "weights"))
+    return answered.groupBy("block").agg(found.alias(f"found{length}"))
 
 
 # --- scores -----------------------------------------------------------------------
 
 
-def _scores(encoded: DataFrame, answers: DataFrame, contexts: Contexts, starts: int, vocabulary: int, discounts: Discounts, unigrams: Unigrams) -> DataFrame:
+def _scores(state: DataFrame, order: int, model: Model, vocabulary: int) -> DataFrame:
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    total = unigrams.total
+    columns = ["ids", *_state_columns(order + 1)]
+    total = model.unigrams.total
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, held, sizes, tokens, known, found in _rows_of(batch):
-                sizes, held = np.array(sizes), np.array(held)
-                pairs = BlockPairs.of(tokens, known, sizes, held, contexts, starts)
-                p = np.zeros(len(pairs.h))
-                for part in found:
-                    own = slice(pairs.edges[part["bucket"]], pairs.edges[part["bucket"] + 1])
-                    h = pairs.h[own]
-                    count = unpacked(part["counts"], 1)[0].astype(float)
-                    weights = np.frombuffer(zstandard.decompress(part["weights"])).reshape(-1, 2)
-                    weight, factor = weights[np.cumsum(np.diff(h, prepend=h[:1]) != 0)].T
-                    seen = factor * discounts(count) * count / np.maximum(pairs.count_h[own], 1)
-                    p[own] = np.where(count > 0, seen, weight * unigrams(pairs.count_w[own]))
-                count_w = pairs.count_w.astype(float)
-                base = np.log10((count_w + 0.1) / (total + 0.1 * (vocabulary + 1)))
-                at = np.cumsum(sizes) - sizes
-                per_text = [np.add.reduceat(x[pairs.token_pair], at) for x in (base, np.log10(p), count_w > 0)]
-                columns = [
-                    pa.array(ids, pa.int64()),
-                    pa.array(held, pa.bool_()),
+            for values in _rows_of(batch):
+                row = dict(zip(columns, values, strict=True))
+                texts = Texts.of(row["sizes"], row["held"])
+                token = unpacked(row["tokens"], 1)[0].astype(np.int64)
+                grams = Grams.single(token, row["known"], model.starts, model.unigrams)
+                count = grams.counts[token].astype(float)
+                p = np.zeros(len(token))
+                for n in range(2, order + 1):
+                    shorter, grams = grams, grams.longer(texts, model.buckets[n])
+                    grams.learn(row[f"found{n}"], shorter, model.discounts[n])
+                    whole = grams.of_token >= 0
+                    p[whole] = grams.p[grams.of_token[whole]]
+                base = np.log10((count + 0.1) / (total + 0.1 * (vocabulary + 1)))
+                sizes = np.array(row["sizes"])
+                per_text = [np.add.reduceat(x, texts.first) for x in (base, np.log10(p), count > 0)]
+                cells = [
+                    pa.array(row["ids"], pa.int64()),
+                    pa.array(row["held"], pa.bool_()),
                     pa.array(sizes, pa.int64()),
                     pa.array(per_text[2], pa.int64()),
                     pa.array(np.full(len(sizes), total), pa.int64()),
                     pa.array(per_text[0], pa.float64()),
                     pa.array(per_text[1], pa.float64()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                yield pa.RecordBatch.from_arrays(cells, names=names)
 
-    by_block = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "counts", "weights")).alias("found"))
-    joined = encoded.join(by_block, "block").select("ids", "held", "sizes", "tokens", "known", "found")
-    return joined.mapInArrow(
+    return state.select(*columns).mapInArrow(
         score,
         "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
         "train_tokens bigint, base_score double, score double",
@@ -510,20 +628,22 @@ def _counts_of_counts(row: dict | None) -> list[int]:
     return [int((row or {}).get(f"n{r}") or 0) for r in range(1, TRUSTED_COUNT + 2)]
 
 
-def score_documents(docs: DataFrame, *, block_tokens: int = 500_000) -> DataFrame:
+def score_documents(docs: DataFrame, *, order: int = 3, block_tokens: int = 500_000) -> DataFrame:
     """Scores of all texts of ``docs`` (doc_id, text), learned from those not held out.
 
     A text is held out when the crc32 of its id as text is divisible by 10, or its
     id is null.  Words are runs without white space, A-Z lower-cased; every text
     ends with one more token.  A null text is empty and has that token only.
-    ``base_score`` is the additive unigram score, ``score`` the model's log10
-    probability; both sum over all tokens.  Repeated rows are scored, and learned
-    from, as often as they occur.  An empty table gives an empty result, and other
-    columns are ignored.  Words are told apart by 64-bit hashes.
+    ``base_score`` is the additive unigram score, ``score`` the log10 probability of a
+    model of n-grams up to ``order`` words; both sum over all tokens.  Repeated rows are
+    scored, and learned from, as often as they occur.  An empty table gives an empty
+    result, and other columns are ignored.  Words are told apart by 64-bit hashes.
 
-    What is gathered on the driver does not grow with the corpus: counts of rare
-    counts, and the contexts that hold at least a quarter of a bucket's tokens.
+    What is gathered on the driver does not grow with the corpus: sums, and counts of
+    rare counts.
     """
+    if order < 2:
+        raise ValueError("a backoff model has n-grams of two words at least")
     store = Store(docs.sparkSession)
     doc_id = F.col("doc_id").cast("bigint")
     held = F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 10 == 0, F.lit(True))
@@ -535,7 +655,7 @@ def score_documents(docs: DataFrame, *, block_tokens: int = 500_000) -> DataFram
     )
     counted = store.save(words, "counted")
     store.release()
-    # Frequent words get small numbers, which keeps the pairs short.
+    # Frequent words get small numbers, which keeps the n-grams short.
     vocabulary = store.save(
         counted.orderBy(F.desc("count"), "word").withColumn(
             "id", F.monotonically_increasing_id() + _FIRST_ID
@@ -545,27 +665,29 @@ def score_documents(docs: DataFrame, *, block_tokens: int = 500_000) -> DataFram
     store.release()
     rare = [F.count_if(F.col("count") == r).alias(f"n{r}") for r in range(1, TRUSTED_COUNT + 2)]
     summary = vocabulary.agg(F.sum("count").alias("total"), F.count(F.lit(1)).alias("n"), *rare).first().asDict()
-    total, n_words = int(summary["total"] or 0), summary["n"]
-    unigrams = Unigrams.of(total, _counts_of_counts(summary))
+    unigrams = Unigrams.of(int(summary["total"] or 0), _counts_of_counts(summary))
     sizes = blocks.select(
         F.aggregate("sizes", F.lit(0).cast("bigint"), lambda x, y: x + y).alias("tokens"),
         F.size(F.filter("held", lambda x: ~x)).alias("learned"),
     ).agg(F.sum("tokens").alias("tokens"), F.sum("learned").alias("learned")).first()
-    starts = int(sizes["learned"] or 0)
-    buckets = max(1, (sizes["tokens"] or 0) // (4 * block_tokens))
-    hot_from = max(total / buckets / 4, 1)
-    hot_ids = [row["id"] for row in vocabulary.filter(F.col("count") >= hot_from).select("id").collect()]
-    contexts = Contexts(np.array(sorted([_START, *hot_ids]), np.uint64), buckets)
+    number = max(1, (sizes["tokens"] or 0) // (4 * block_tokens))
+    buckets = Buckets(number, max(block_tokens, 1))
+    model = Model(int(sizes["learned"] or 0), unigrams, {}, {n: buckets for n in range(2, order + 1)})
 
-    encoded = store.save(_encoded(blocks, vocabulary.select("word", "id", "count")), "encoded")
+    state = store.save(_encoded(blocks, vocabulary.select("word", "id", "count")), "state1")
     store.drop("blocks", "counted")
     store.release()
-    pair_counts = store.save(_count_pairs(encoded, contexts, starts), "pair_counts")
-    store.release()
-    found = pair_counts.agg(
-        *[F.sum(F.get("rare", F.lit(r))).alias(f"n{r + 1}") for r in range(TRUSTED_COUNT + 1)]
-    ).first()
-    discounts = Discounts.good_turing(_counts_of_counts(found.asDict()))
-    hot = _hot_weights(pair_counts, contexts, discounts, unigrams)
-    answers = _answers(pair_counts, discounts, unigrams, hot)
-    return _scores(encoded, answers, contexts, starts, n_words, discounts, unigrams)
+    for length in range(2, order + 1):
+        counted = store.save(_counted(state, length, model), f"counted{length}")
+        store.release()
+        found = counted.agg(
+            *[F.sum(F.get("rare", F.lit(r))).alias(f"n{r + 1}") for r in range(TRUSTED_COUNT + 1)]
+        ).first()
+        model.discounts[length] = Discounts.good_turing(_counts_of_counts(found.asDict()))
+        answers = _answers(counted, _hot_masses(counted, length, model), length, model)
+        state = state.join(answers, "block", "left")
+        if length < order:
+            state = store.save(state, f"state{length}")
+            store.drop(f"state{length - 1}", f"counted{length}")
+            store.release()
+    return _scores(state, order, model, summary["n"])

@@ -342,3 +342,19 @@ def test_scratch_is_below_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_dir(spark).startswith(f"{shared}/triptych-")
     assert scratch_dir(spark) != scratch_dir(spark)
+
+
+def test_scratch_of_a_session_can_be_dropped(spark, tmp_path):
+    from triptych import session
+
+    kept = session._scratch.pop(spark.sparkContext.applicationId, [])
+    before = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        spark.range(3).write.parquet(f"{scratch_dir(spark)}/table")
+        assert [p.name.startswith("triptych-") for p in tmp_path.iterdir()] == [True]
+        assert session.drop_scratch(spark) == 1
+        assert not list(tmp_path.iterdir()) and session.drop_scratch(spark) == 0
+    finally:
+        spark.conf.set("spark.checkpoint.dir", before)
+        session._scratch[spark.sparkContext.applicationId] = kept

@@ -27,6 +27,6 @@ def share_of_total(
     """
     rows = F.count(F.lit(1))
     grouped = df.groupBy(*keys).agg(rows.alias(count), *aggregates)
-    used = F.count(F.struct(*grouped.columns)).alias("_used")
+    used = F.bit_xor(F.xxhash64(*grouped.columns)).alias("_used")
     total = grouped.agg(F.struct(F.sum(count).alias("total"), used).alias("t")).scalar()
     return grouped.withColumn(share, percent_of(F.col(count), total.getField("total")))

@@ -50,6 +50,9 @@ def get_session(app_name: str = "triptych", master: str | None = None, **conf: s
     return spark
 
 
+_scratch: dict[str, list[str]] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder name below ``spark.checkpoint.dir``, which all executors share.
 
@@ -61,4 +64,19 @@ def scratch_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="run-")
-    return f"{base.rstrip('/')}/triptych-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/triptych-{uuid.uuid4().hex}"
+    _scratch.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders of this application, once no result is read from them any more.
+
+    Returns how many there were.  Call it at the end of a session that ran operators with
+    intermediate tables; folders of other applications are left alone.
+    """
+    folders = _scratch.pop(spark.sparkContext.applicationId, [])
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return len(folders)

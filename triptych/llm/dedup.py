@@ -25,6 +25,10 @@ _STATE_SETTINGS = {
     f"{_STREAMING}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Every partition has a database; files reserved in advance would outweigh small ones.
     f"{_STREAMING}.rocksdb.allowFAllocate": "false",
+    # All databases of an executor share this much memory, and are closed soon after a batch.
+    f"{_STREAMING}.rocksdb.boundedMemoryUsage": "true",
+    f"{_STREAMING}.rocksdb.maxMemoryUsageMB": "128",
+    f"{_STREAMING}.maintenanceInterval": "5s",
 }
 
 #: Copies compared with one copy of the located text at a time.

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from triptych.llm.katz import packed, unpacked
 from triptych.llm.store import Store
+from triptych.llm.words import keep_one
 
 _META_SPACE = "▁"
 #: A blank between printable ASCII or letters and digits, and a text that such can enclose.
@@ -135,8 +136,6 @@ def byte_letters() -> dict[str, int]:
 class TokenizerPair:
     """A byte-level tokenizer A and a piece tokenizer B with the bytes of all their tokens."""
 
-    _open: dict[tuple[str, str], TokenizerPair] = {}
-
     def __init__(self, a_path: str, b_path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from sentencepiece import SentencePieceProcessor
@@ -170,9 +169,7 @@ class TokenizerPair:
     @classmethod
     def open(cls, a_path: str, b_path: str) -> TokenizerPair:
         """One per Python worker."""
-        if (a_path, b_path) not in cls._open:
-            cls._open[a_path, b_path] = cls(a_path, b_path)
-        return cls._open[a_path, b_path]
+        return keep_one((cls, a_path, b_path), lambda: cls(a_path, b_path))
 
     @cached_property
     def a_lengths(self) -> np.ndarray:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from triptych.llm.words import mix
+from triptych.llm.words import keep_none, mix
 
 UNDETERMINED = "und"
 
@@ -116,6 +116,7 @@ def train_prototypes(
     sample = labelled.filter(drawn < rate).select("text", "lang")
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_none()
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             langs = np.array(batch.column(1).to_pylist(), object)
@@ -159,6 +160,7 @@ def predict(
     names = np.array([*languages, UNDETERMINED], object)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_none()
         for batch in batches:
             best = np.full(batch.num_rows, len(languages))
             score = np.zeros(batch.num_rows)

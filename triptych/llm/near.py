@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from triptych.llm.components import components
 from triptych.llm.store import Store, chosen_rows, few_records_a_batch, other_rows
-from triptych.llm.words import mix, text_slices, word_hashes
+from triptych.llm.words import keep_none, mix, text_slices, word_hashes
 
 _SKETCH_WORDS = 8
 #: Larger sets also have a wide sketch, of a power of two of words with 2 to 4 bits a shingle.
@@ -170,6 +170,7 @@ def _describe(texts: DataFrame, like: Likeness) -> DataFrame:
     names = ["_row", "_id", "n", "d1", "d2", *[f"s{i}" for i in range(_SKETCH_WORDS)], "wide", "bands"]
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_none()
         for batch in batches:
             for first, end, data, offsets in text_slices(batch.column(1)):
                 values, starts = shingle_sets(data, offsets, like.width)
@@ -255,6 +256,7 @@ def _band_blocks(texts: DataFrame, like: Likeness, buckets: int) -> DataFrame:
         )
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_none()
         rows, keys, held = [], [], 0
         for batch in batches:
             ids = batch.column(0).to_numpy().astype(np.uint64)
@@ -281,12 +283,14 @@ def _members(blocks: DataFrame) -> DataFrame:
     """(key, row, head) of every band that several rows share; the head is one of them."""
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_none()
         for batch in batches:
             for cells in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 key, row, head = (_from_planes(cell) for cell in cells)
                 yield _member_rows(key, row, head)
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_none()
         for batch in batches:
             for bucket, parts in zip(batch.column(0), batch.column(1), strict=True):
                 parts = parts.as_py()
@@ -308,6 +312,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
     """The pairs (a, b) whose sets are alike; ``sets`` has rid and values."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_none()
         for batch in batches:
             good = np.zeros(batch.num_rows, bool)
             for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
@@ -326,6 +331,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:
 
 def _sets(texts: DataFrame, like: Likeness) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_none()
         for batch in batches:
             for first, end, data, offsets in text_slices(batch.column(1)):
                 values, starts = shingle_sets(data, offsets, like.width)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triptych.llm.store import Store, rank_within
+from triptych.llm.words import keep_one
 
 #: Plans up to this many rows (about 5 MB) are broadcast, longer ones joined by shuffle.
 BROADCAST_PLAN_ROWS = 100_000
@@ -37,8 +38,6 @@ class WordTokenizer:
     special token go through the tokenizer as a whole.
     """
 
-    _open: dict[str, WordTokenizer] = {}
-
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -50,9 +49,7 @@ class WordTokenizer:
     @classmethod
     def open(cls, path: str) -> WordTokenizer:
         """One per Python worker, so that its words stay from task to task."""
-        if path not in cls._open:
-            cls._open[path] = cls(path)
-        return cls._open[path]
+        return keep_one((cls, path), lambda: cls(path))
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)

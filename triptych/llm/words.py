@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +15,22 @@ _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_MULTIPLIER), -1, 1 << 64))
 
 
+_kept: dict[object, object] = {}
+
+
+def keep_one(key: object, build: Callable[[], object]) -> object:
+    """A large object that a Python worker keeps from task to task, one at a time."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = build()
+    return _kept[key]
+
+
+def keep_none() -> None:
+    """Let go of what the worker keeps: tasks that need their memory for something else begin with this."""
+    _kept.clear()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalizer that spreads every input bit over all 64 (splitmix)."""
     x = x + np.uint64(0x9E3779B97F4A7C15)

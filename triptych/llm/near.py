@@ -30,7 +30,8 @@ _SKETCH_WORDS = 8
 _WIDE_FROM = 512
 _MOST_NEEDED = 4
 _KEYS_TOGETHER = 500_000
-#: Pairs of whole sets that a task holds at a time.
+#: Texts, and pairs of whole sets, that a task holds at a time.
+_TEXTS_TOGETHER = 500
 _PAIRS_TOGETHER = 200
 
 
@@ -433,7 +434,8 @@ def near_duplicates(rows: DataFrame, like: Likeness, store: Store) -> DataFrame:
     has rows; pairs within a component are never listed.
     """
     texts = rows.select("_row", "_chunk", F.col("_doc.text").alias("text"), F.col("_doc.doc_id").cast("bigint").alias("_id"))
-    described = store.save(_describe(texts.select("_row", "text", "_id"), like), "described")
+    with few_records_a_batch(store.spark, _TEXTS_TOGETHER):
+        described = store.save(_describe(texts.select("_row", "text", "_id"), like), "described")
     digest = ["d1", "d2", "n"]
     with_words = described.filter("n > 0")
     kept = [*_SKETCH, "wide", "bands"]
@@ -444,7 +446,8 @@ def near_duplicates(rows: DataFrame, like: Likeness, store: Store) -> DataFrame:
     total = nodes.agg(F.sum("bands")).first()[0] or 0
     sketches = nodes.select(F.col("_row").alias("rid"), "n", *_SKETCH, "wide")
     first_rows = chosen_rows(texts, nodes).select("_row", "text")
-    blocks = store.save(_band_blocks(first_rows, like, max(1, total * 2 // _KEYS_TOGETHER)), "blocks")
+    with few_records_a_batch(store.spark, _TEXTS_TOGETHER):
+        blocks = store.save(_band_blocks(first_rows, like, max(1, total * 2 // _KEYS_TOGETHER)), "blocks")
     store.release()
     with few_records_a_batch(store.spark, 4):
         members = store.save(
@@ -459,7 +462,8 @@ def near_duplicates(rows: DataFrame, like: Likeness, store: Store) -> DataFrame:
         "star",
     )
     wanted = star.select(F.explode(F.array("a", "b")).alias("_row")).distinct()
-    sets = store.save(_sets(chosen_rows(texts, wanted).select("_row", "text"), like), "sets")
+    with few_records_a_batch(store.spark, _TEXTS_TOGETHER):
+        sets = store.save(_sets(chosen_rows(texts, wanted).select("_row", "text"), like), "sets")
     store.release()
 
     linker = _Linker(sets, like, store)

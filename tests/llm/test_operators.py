@@ -820,3 +820,26 @@ def test_empty_tables_give_empty_results(empty):
         sharding.shard(empty),
     ]
     assert [result.count() for result in results] == [0] * len(results)
+
+
+def test_bucket_members_come_one_bucket_at_a_time(spark):
+    """Buckets are not gathered into lists: a task never holds many whole buckets on the heap."""
+    rng = random.Random(7)
+    cells, expected = [], set()
+    for bucket in range(5):
+        by_key = defaultdict(list)
+        for _ in range(3):
+            keys = [rng.randrange(40) for _ in range(30)]
+            rows = [rng.randrange(1, 10**12) for _ in keys]
+            for k, r in zip(keys, rows):
+                by_key[(bucket << 32) | k].append(r)
+            keys_u4 = np.array(keys, "<u4").tobytes()
+            cells.append((bucket, keys_u4, near._planes(np.array(rows, np.uint64)), b"", b"", b""))
+        for key, rows in by_key.items():
+            if len(rows) > 1:
+                head = min(rows)
+                expected |= {(key, r, head) for r in rows}
+    schema = "bucket int, keys binary, rows binary, member_keys binary, members binary, heads binary"
+    members = near._members(spark.createDataFrame(cells, schema).repartition(3))
+    assert "ObjectHashAggregate" not in plan_of(members)
+    assert Counter(tuple(r) for r in members.collect()) == Counter(expected)

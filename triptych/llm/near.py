@@ -290,23 +290,23 @@ def _members(blocks: DataFrame) -> DataFrame:
                 key, row, head = (_from_planes(cell) for cell in cells)
                 yield _member_rows(key, row, head)
 
-    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def across(table: pa.Table) -> pa.Table:
+        # One bucket at a time: Spark sorts the parts by bucket and hands them over
+        # group by group, so no task holds more than one bucket's keys in memory.
         keep_none()
-        for batch in batches:
-            for bucket, parts in zip(batch.column(0), batch.column(1), strict=True):
-                parts = parts.as_py()
-                key = np.concatenate([np.frombuffer(part["keys"], "<u4") for part in parts])
-                key = key.astype(np.uint64) | np.uint64(bucket.as_py() << 32)
-                row = np.concatenate([_from_planes(part["rows"]) for part in parts])
-                order = np.lexsort((row, key))
-                key, row = key[order], row[order]
-                heads, group, shared = _runs(key)
-                yield _member_rows(key[shared], row[shared], row[heads][group][shared])
+        bucket = table.column(0)[0].as_py()
+        key = np.concatenate([np.frombuffer(cell, "<u4") for cell in table.column(1).to_pylist()])
+        key = key.astype(np.uint64) | np.uint64(bucket << 32)
+        row = np.concatenate([_from_planes(cell) for cell in table.column(2).to_pylist()])
+        order = np.lexsort((row, key))
+        key, row = key[order], row[order]
+        heads, group, shared = _runs(key)
+        return pa.Table.from_batches([_member_rows(key[shared], row[shared], row[heads][group][shared])])
 
     schema = "key bigint, row bigint, head bigint"
     inside = blocks.filter(F.length("members") > 0).select("member_keys", "members", "heads")
-    grouped = blocks.groupBy("bucket").agg(F.collect_list(F.struct("keys", "rows")).alias("parts"))
-    return inside.mapInArrow(local, schema).unionAll(grouped.mapInArrow(across, schema))
+    across_buckets = blocks.select("bucket", "keys", "rows").groupBy("bucket").applyInArrow(across, schema)
+    return inside.mapInArrow(local, schema).unionAll(across_buckets)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, like: Likeness) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -621,6 +622,67 @@ def test_a_search_holds_its_beam_only(monkeypatch):
     assert max(widest) <= 16 + 4 * graph.links.shape[1]
 
 
+def test_vectors_are_stored_once_and_lists_searched_in_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(900, 6)).astype(np.float32)
+    vectors[200:260] = vectors[3]
+    data = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    table = spark.createDataFrame(data, "vec_id bigint, embedding array<float>").repartition(4)
+    stored, save = {}, neighbours.Store.save
+
+    def counted(self, df, name):
+        kept = save(self, df, name)
+        if "v" in kept.columns:
+            stored[name] = (kept.count(), kept.schema["v"].dataType.elementType.typeName())
+        return kept
+
+    monkeypatch.setattr(neighbours.Store, "save", counted)
+    is_query = F.col("vec_id") % 30 == 0
+    whole = neighbours.nearest_neighbours(table, is_query, list_size=30, block=50).collect()
+    assert stored["postings"] == (900, "float")
+    assert sum(rows for rows, _ in stored.values()) <= 2 * 900 + 2 * 30
+    rounds = neighbours.nearest_neighbours(table, is_query, list_size=30, block=50, rows_per_round=300).collect()
+    assert len(whole) == 150 and sorted(rounds) == sorted(whole)
+    doubles = table.withColumn("embedding", F.col("embedding").cast("array<double>"))
+    found = neighbours.nearest_neighbours(doubles, is_query, list_size=30, block=50, rows_per_round=100).collect()
+    assert stored["postings"] == (900, "double")
+    copies = {(r.query_id, r["rank"]): r.vec_id for r in found if 200 <= r.query_id < 260}
+    assert copies == {(q, rank): v for q in (210, 240) for rank, v in enumerate([3, 200, 201, 202, 203], 1)}
+
+
+def test_the_nearest_of_a_block_are_those_of_a_scan():
+    rng = np.random.default_rng(11)
+    vectors = rng.normal(size=(700, 8))
+    vectors[40:600:7] = vectors[5]
+    rows = rng.permutation(700)
+    ids = rng.permutation(700) // 2
+    asked = np.arange(0, 700, 3)
+    for n in (1, 5, 100, 800):
+        exact = np.stack([neighbours.exact_cosines(vectors[q], vectors) for q in asked])
+        exact[np.arange(len(asked)), asked] = -np.inf
+        for floors in (np.full(len(asked), -np.inf), np.sort(exact, axis=1)[:, -3].copy()):
+            parts = list(neighbours._top(vectors[asked], rows[asked], floors, vectors, rows, ids, n, together=100))
+            asker, best, scores = (np.concatenate(x) for x in zip(*parts, strict=True))
+            for i in range(len(asked)):
+                order = np.lexsort((rows, ids, -exact[i]))
+                order = order[(exact[i][order] >= floors[i]) & (exact[i][order] > -np.inf)][:n]
+                assert best[asker == i].tolist() == order.tolist()
+                assert scores[asker == i].tolist() == exact[i][order].tolist()
+
+
+def test_training_holds_few_products_at_a_time():
+    sample = neighbours.unit(np.random.default_rng(4).normal(size=(5000, 8)))
+    tracemalloc.start()
+    try:
+        centroids = neighbours.train_centroids(sample, 4000, rounds=1)
+        neighbours.CentroidGraph.build(centroids)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(centroids) == 4000
+    assert peak < 60e6
+
+
 # --- urls -------------------------------------------------------------------------------
 
 

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from triptych.llm.store import Store
 
@@ -32,11 +33,11 @@ class CentroidGraph:
         k = len(centroids)
         degree = min(degree, k - 1)
         links = np.zeros((k, max(degree, 1)), np.int64)
-        for at in range(0, k, 1024):
-            near = centroids[at : at + 1024] @ centroids.T
+        for at in range(0, k, 256):
+            near = centroids[at : at + 256] @ centroids.T
             near[np.arange(len(near)), np.arange(at, at + len(near))] = -2
             if degree:
-                links[at : at + 1024] = np.argsort(-near, axis=1, kind="stable")[:, :degree]
+                links[at : at + 256] = np.argsort(-near, axis=1, kind="stable")[:, :degree]
         # Every other link leads far away, so that the search leaves a local best.
         far = (np.arange(k)[:, None] * 31 + np.arange(1, 5)[None, :] * (k // 5 + 1)) % k
         return cls(centroids, np.hstack([links, far]), np.unique(np.linspace(0, k - 1, entries).astype(int)))
@@ -116,8 +117,8 @@ def train_centroids(sample: np.ndarray, k: int, *, rounds: int = 12, seed: int =
         penalty = 0.05 * (sizes * k / len(sample) - 1)
         assigned = np.concatenate(
             [
-                (sample[at : at + 4096] @ centroids.T - penalty).argmax(axis=1)
-                for at in range(0, len(sample), 4096)
+                (sample[at : at + 256] @ centroids.T - penalty).argmax(axis=1)
+                for at in range(0, len(sample), 256)
             ]
         )
         sums = np.zeros_like(centroids, np.float64)
@@ -141,25 +142,53 @@ def _matrix(column: pa.Array, dimensions: int) -> np.ndarray:
     return np.asarray(column.flatten(), np.float64).reshape(len(column), dimensions)
 
 
-def exact_cosines(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+def exact_cosines(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     """Cosines in double precision; equal vectors get equal values wherever they stand."""
-    dots = (vectors * query).sum(axis=1)
-    norms = np.sqrt((vectors * vectors).sum(axis=1)) * np.sqrt((query * query).sum())
+    dots = (vectors * queries).sum(axis=1)
+    norms = np.sqrt((vectors * vectors).sum(axis=1)) * np.sqrt((queries * queries).sum(axis=-1))
     return dots / norms
 
 
-def _top(queries: np.ndarray, own_rows: np.ndarray, vectors: np.ndarray, rows: np.ndarray, ids: np.ndarray, n: int):
-    """Per query the ``n`` nearest of the block: exact score, ties to the smaller id."""
+def _at_least(near: np.ndarray, n: int, chunks: int = 64) -> np.ndarray:
+    """Per row a value that at least ``n`` columns reach; close to the n-th largest."""
+    width = near.shape[1] // chunks
+    if n <= chunks and width > 1:
+        # The best of each chunk are so many columns, and far fewer to select from.
+        near = near[:, : chunks * width].reshape(len(near), chunks, width).max(axis=2)
+    return np.partition(near, -n, axis=1)[:, -n] if near.shape[1] > n else np.full(len(near), -2.0)
+
+
+def _top(
+    queries: np.ndarray,
+    own_rows: np.ndarray,
+    floors: np.ndarray,
+    vectors: np.ndarray,
+    rows: np.ndarray,
+    ids: np.ndarray,
+    n: int,
+    together: int = 256,
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(queries, vectors, exact scores) of the ``n`` nearest of the block; ties to the smaller id.
+
+    What scores below a query's floor is left out.
+    """
     scaled, rough = unit(vectors), unit(queries)
-    for i in range(len(queries)):
-        near = scaled @ rough[i]
-        near[rows == own_rows[i]] = -np.inf
+    for at in range(0, len(queries), together):
+        near = rough[at : at + together] @ scaled.T
+        near[own_rows[at : at + together, None] == rows] = -np.inf
         # float32 errors stay far below the margin, so ties at the border all come along.
-        border = np.partition(near, -n)[-n] if len(near) > n else -2.0
-        close = np.flatnonzero((near >= border - 1e-5) & np.isfinite(near))
-        scores = exact_cosines(queries[i], vectors[close])
-        best = np.lexsort((ids[close], -scores))[:n]
-        yield i, close[best], scores[best]
+        border = np.maximum(np.maximum(_at_least(near, n), floors[at : at + together]), -2.0) - 1e-5
+        asker, close = np.nonzero(near >= border[:, None])
+        asker += at
+        scores = np.empty(len(asker))
+        for pairs in (slice(i, i + 16_384) for i in range(0, len(asker), 16_384)):
+            scores[pairs] = exact_cosines(queries[asker[pairs]], vectors[close[pairs]])
+        enough = scores >= floors[asker]
+        asker, close, scores = asker[enough], close[enough], scores[enough]
+        order = np.lexsort((rows[close], ids[close], -scores, asker))
+        asker = asker[order]
+        best = np.arange(len(asker)) - np.searchsorted(asker, asker) < n
+        yield asker[best], close[order][best], scores[order][best]
 
 
 def nearest_neighbours(
@@ -175,6 +204,8 @@ def nearest_neighbours(
     beam: int = 96,
     search_ratio: float = 1.6,
     block: int = 4096,
+    rows_per_round: int = 200_000,
+    max_rounds: int = 8,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id and score of each query's nearest found.
 
@@ -193,14 +224,22 @@ def nearest_neighbours(
     as far as the nearest; a query reads the lists up to ``search_ratio``, among
     the ``beam`` nearest.  Lists and their queries are cut into blocks of ``block``
     rows, so a list that many equal vectors share is searched by many tasks.
+
+    Vectors are stored once, with the numbers of their lists.  They are copied to the
+    lists when these are searched, some of the lists in each of up to ``max_rounds``
+    rounds, about one per ``rows_per_round`` rows: so only a part of the copies is on
+    disk at a time.  A later round returns what can still be among a query's nearest.
     """
     spark = vectors.sparkSession
     store = Store(spark)
     result = "query_id bigint, rank int, vec_id bigint, score double"
+    # Floats stay floats in tables and shuffles; sums are of doubles.
+    element = getattr(vectors.schema["embedding"].dataType, "elementType", None)
+    kind = "array<float>" if isinstance(element, FloatType) else "array<double>"
     rows = store.save(
         vectors.select(
             F.col("vec_id").cast("bigint").alias("vec_id"),
-            F.col("embedding").cast("array<double>").alias("v"),
+            F.col("embedding").cast(kind).alias("v"),
             F.coalesce(is_query, F.lit(False)).alias("is_query"),
         )
         .filter(usable(F.col("v")))
@@ -213,7 +252,7 @@ def nearest_neighbours(
     dimensions = first["d"]
     rows = rows.filter(F.size("v") == dimensions)
     n = rows.count()
-    drawn = F.pmod(F.xxhash64("vec_id", "v"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    drawn = F.pmod(F.xxhash64("vec_id", F.col("v").cast("array<double>")), F.lit(1 << 40)) / F.lit(float(1 << 40))
     sample = rows.filter(drawn < max_sample * 0.9 / n).select("v").limit(max_sample).toArrow()
     if not sample.num_rows:
         sample = rows.select("v").limit(1).toArrow()
@@ -231,63 +270,107 @@ def nearest_neighbours(
             lists = np.concatenate([x[0] for x in found])[:, :width]
             far = np.concatenate([x[1] for x in found])[:, :width]
             # The floor keeps the ratio meaningful for a vector that is a centroid.
-            row, at = np.nonzero(far <= np.maximum(far[:, :1], 1e-3) * ratio)
-            out = batch.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays(
-                [*out.columns, pa.array(lists[row, at], pa.int64())], names=[*out.schema.names, "list"]
-            )
+            near = far <= np.maximum(far[:, :1], 1e-3) * ratio
+            ends = np.concatenate([[0], near.sum(axis=1).cumsum()])
+            own = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(lists[near], pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, own], names=[*batch.schema.names, "lists"])
 
-    schema = "vec_id bigint, v array<double>, row bigint, list bigint"
-    slim = rows.select("vec_id", "v", "row")
+    schema = f"vec_id bigint, v {kind}, row bigint, lists array<int>"
+    slim = ("vec_id", "v", "row")
     postings = store.save(
-        slim.mapInArrow(lambda batches: place(batches, replicas, boundary_ratio), schema), "postings"
+        rows.select(*slim).mapInArrow(lambda batches: place(batches, replicas, boundary_ratio), schema), "postings"
     )
     wanted = store.save(
-        rows.filter("is_query")
-        .select("vec_id", "v", "row")
-        .mapInArrow(lambda batches: place(batches, beam, search_ratio), schema),
+        rows.filter("is_query").select(*slim).mapInArrow(lambda batches: place(batches, beam, search_ratio), schema),
         "wanted",
     )
-    found = store.save(_search_lists(postings, wanted, neighbours, block, dimensions), "found")
+    store.drop("rows")
+    rounds = int(np.clip(-(-n // rows_per_round), 1, max_rounds))
+    top = spark.createDataFrame([], "query_row bigint, query_id bigint, row bigint, vec_id bigint, score double, rank int")
+    top = _search_lists(store, postings, wanted, top, neighbours, block, dimensions, rounds, "top")
 
     # Few rows near a query: it reads all lists.
     most = min(neighbours, n - 1)
-    counts = found.select("query_row", "row").distinct().groupBy("query_row").count()
-    enough = counts.filter(F.col("count") >= most).select(F.col("query_row").alias("row"))
-    short = rows.filter("is_query").join(enough, "row", "left_anti").select("vec_id", "v", "row")
-    everywhere = short.withColumn("list", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).withColumn(
-        "list", F.col("list").cast("bigint")
-    )
-    more = _search_lists(postings, everywhere, neighbours, block, dimensions)
+    enough = top.groupBy("query_row").count().filter(F.col("count") >= most).select(F.col("query_row").alias("row"))
+    short = store.save(wanted.join(enough, "row", "left_anti").select(*slim), "short")
+    if not short.isEmpty():
+        everywhere = short.withColumn("lists", F.sequence(F.lit(0), F.lit(k - 1)))
+        top = _search_lists(store, postings, everywhere, top, neighbours, block, dimensions, rounds, "more")
+    store.drop("postings", "wanted", "short")
+    return top.select("query_id", "rank", "vec_id", "score")
+
+
+def _search_lists(
+    store: Store,
+    postings: DataFrame,
+    wanted: DataFrame,
+    top: DataFrame,
+    neighbours: int,
+    block: int,
+    dimensions: int,
+    rounds: int,
+    name: str,
+) -> DataFrame:
+    """``top`` with the best of each query's lists, searched in rounds over the lists."""
+    lists = _lists_in_blocks(store, postings, wanted, block, f"{name}_lists")
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), F.asc_nulls_first("vec_id"), "row")
-    return (
-        found.unionAll(more)
-        .dropDuplicates(["query_row", "row"])
-        .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= neighbours)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    for i in range(rounds):
+        of_round = F.broadcast(lists.filter(F.col("list") % rounds == i))
+        floors = (
+            top.filter(F.col("rank") == neighbours).select(F.col("query_row").alias("row"), F.col("score").alias("floor"))
+        )
+        found = _search_blocks(
+            _copies(postings, rounds, i), _copies(wanted.join(floors, "row", "left"), rounds, i), of_round, neighbours, dimensions
+        )
+        top = store.save(
+            found.unionAll(top.drop("rank"))
+            .repartition("query_row")
+            .dropDuplicates(["query_row", "row"])
+            .withColumn("rank", F.row_number().over(order))
+            .filter(F.col("rank") <= neighbours),
+            f"{name}{i}",
+        )
+        if i:
+            store.drop(f"{name}{i - 1}")
+        if rounds > 1:
+            del found
+            store.release()
+    return top
+
+
+def _copies(vectors: DataFrame, rounds: int, i: int) -> DataFrame:
+    """A copy of each vector for each of its lists that the round searches."""
+    own = F.filter("lists", lambda x: x % rounds == i) if rounds > 1 else F.col("lists")
+    return vectors.withColumn("list", F.explode(own)).drop("lists")
+
+
+def _lists_in_blocks(store: Store, postings: DataFrame, wanted: DataFrame, block: int, name: str) -> DataFrame:
+    """list, and the numbers of blocks and asks it and its queries are cut into: a row per centroid at most."""
 
+    def cut(side: DataFrame, number: str) -> DataFrame:
+        counts = side.select(F.explode("lists").alias("list")).groupBy("list").count()
+        return counts.select("list", F.ceil(F.col("count") / block).alias(number))
 
-def _search_lists(postings: DataFrame, wanted: DataFrame, neighbours: int, block: int, dimensions: int) -> DataFrame:
+    return store.save(cut(postings, "blocks").join(cut(wanted, "asks"), "list"), name)
+
+
+def _search_blocks(
+    postings: DataFrame, wanted: DataFrame, lists: DataFrame, neighbours: int, dimensions: int
+) -> DataFrame:
     """Every query against every block of its lists; the best of each block."""
-    sizes = postings.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
-    asked = wanted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / block).alias("asks"))
     spread = F.pmod(F.xxhash64("row"), F.col("blocks"))
     asks = F.pmod(F.xxhash64("row"), F.col("asks"))
     candidates = (
-        postings.join(sizes, "list")
-        .join(asked, "list")
+        postings.join(lists, "list")
         .withColumn("block", spread)
         .withColumn("ask", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("asks") - 1)))
         .select("list", "block", "ask", "row", "vec_id", "v")
     )
     queries = (
-        wanted.join(sizes, "list")
-        .join(asked, "list")
+        wanted.join(lists, "list")
         .withColumn("ask", asks)
         .withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-        .select("list", "block", "ask", "row", "vec_id", "v")
+        .select("list", "block", "ask", "row", "vec_id", "v", "floor")
     )
 
     names = ["query_row", "query_id", "row", "vec_id", "score"]
@@ -299,8 +382,8 @@ def _search_lists(postings: DataFrame, wanted: DataFrame, neighbours: int, block
             vectors, queries = (_matrix(side["v"].chunk(0), dimensions) for side in (left, right))
             rows, ids = left["row"].to_numpy(), left["vec_id"]
             order = ids.fill_null(-(2**63)).to_numpy()
-            for i, best, scores in _top(queries, right["row"].to_numpy(), vectors, rows, order, neighbours):
-                parts.append((np.full(len(best), i), best, scores))
+            floors = right["floor"].fill_null(-np.inf).to_numpy()
+            parts = list(_top(queries, right["row"].to_numpy(), floors, vectors, rows, order, neighbours))
         if not parts:
             return pa.table({name: pa.array([], kind) for name, kind in zip(names, [*[pa.int64()] * 4, pa.float64()], strict=True)})
         asker, best, scores = (np.concatenate(x) for x in zip(*parts, strict=True))

@@ -26,6 +26,8 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            # A test points spark.checkpoint.dir elsewhere for a while.
+            "spark.sql.legacy.setCommandRejectsSparkCoreConfs": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
         },
     )
